@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import canonical, cooccur, mixture, repeated_lines, tokens
+from marketloom.llm import canonical, cooccur, mixture, repeated_lines, similar, tokens
 from marketloom.session import table
 
 
@@ -29,6 +29,24 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.without_lines(articles, repeated_lines.find_repeated_lines(articles))
 
 
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = None
+    for name in ("articles", "article_insights"):
+        pairs = similar.close_pairs(table(spark, sf_dir, name), min_similarity=0.85).select(F.lit(name).alias("table_name"), "id_a", "id_b")
+        found = pairs if found is None else found.unionByName(pairs)
+    return found
+
+
+def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 most similar of every row whose id is divisible by 50, against all rows."""
+    found = None
+    for name in ("articles", "article_insights"):
+        near = similar.most_similar(table(spark, sf_dir, name), k=5, target_recall=0.92, queries=F.col("id") % 50 == 0)
+        near = near.select(F.lit(name).alias("table_name"), "id", "other_id", "similarity")
+        found = near if found is None else found.unionByName(near)
+    return found
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = cooccur.lifted_pairs(table(spark, sf_dir, "articles"), min_count=5, min_lift=3.0)
     return pairs.select(F.col("item_a").alias("ticker_a"), F.col("item_b").alias("ticker_b"))
@@ -66,7 +84,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p2_found": p2_found, "p2_clean": p2_clean, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
+    "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
     "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
 }
 
