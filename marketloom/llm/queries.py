@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import canonical, cooccur, mixture, repeated_lines, similar, tokens
+from marketloom.llm import canonical, cooccur, languages, mixture, repeated_lines, residue, similar, tokens
 from marketloom.session import table
 
 
@@ -20,6 +20,15 @@ def vocabulary_path() -> str:
     return importlib.import_module("public_tokenizers").path("byte_bpe_50k.tiktoken")
 
 
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return residue.unusable(table(spark, sf_dir, "articles")).filter("unusable").select("id")
+
+
+def p1_usable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article's mark, score and reason."""
+    return residue.unusable(table(spark, sf_dir, "articles"))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.find_repeated_lines(table(spark, sf_dir, "articles")).select("id", "line_no")
 
@@ -47,6 +56,16 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = languages.label_languages(table(spark, sf_dir, "articles")).filter(F.col("lang").isNotNull() & ((F.col("line_no") > 0) | ~F.col("label_right")))
+    return labelled.join(p1_found(spark, sf_dir), "id", "left_anti").select("id", "line_no", "lang")
+
+
+def p4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article's and every foreign line's language with its confidence."""
+    return languages.label_languages(table(spark, sf_dir, "articles"))
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = cooccur.lifted_pairs(table(spark, sf_dir, "articles"), min_count=5, min_lift=3.0)
     return pairs.select(F.col("item_a").alias("ticker_a"), F.col("item_b").alias("ticker_b"))
@@ -84,7 +103,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
+    "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_languages": p4_languages, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
     "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
 }
 
