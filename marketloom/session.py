@@ -17,6 +17,7 @@ def build_session(app: str = "marketloom", cores: int | str = "*", shuffle_parti
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )
