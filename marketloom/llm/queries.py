@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import canonical, cooccur, languages, mixture, repeated_lines, residue, similar, tokens
+from marketloom.llm import boilerplate, canonical, cooccur, languages, mixture, repeated_lines, residue, similar, tokens
 from marketloom.session import table
 
 
@@ -66,6 +66,17 @@ def p4_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.label_languages(table(spark, sf_dir, "articles"))
 
 
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = boilerplate.boilerplate_lines(table(spark, sf_dir, "articles"))
+    return lines.join(p1_found(spark, sf_dir), "id", "left_anti").select("id", "line_no")
+
+
+def p5_body(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every article's content without the lines that are no part of the story."""
+    articles = table(spark, sf_dir, "articles")
+    return repeated_lines.without_lines(articles, boilerplate.boilerplate_lines(articles), out_col="body")
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     pairs = cooccur.lifted_pairs(table(spark, sf_dir, "articles"), min_count=5, min_lift=3.0)
     return pairs.select(F.col("item_a").alias("ticker_a"), F.col("item_b").alias("ticker_b"))
@@ -103,7 +114,7 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_languages": p4_languages, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
+    "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_languages": p4_languages, "p5_found": p5_found, "p5_body": p5_body, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
     "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
 }
 
