@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm import boilerplate, canonical, cooccur, languages, mixture, repeated_lines, residue, similar, tokens
+from marketloom.llm import boilerplate, canonical, cooccur, languages, mixture, personal, repeated_lines, residue, similar, tokens
 from marketloom.session import table
 
 
@@ -113,9 +113,18 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.shares(*_mixture(spark, sf_dir))
 
 
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return personal.find_pieces(table(spark, sf_dir, "documents"))
+
+
+def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with typed placeholders."""
+    return personal.redact(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_languages": p4_languages, "p5_found": p5_found, "p5_body": p5_body, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
-    "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares,
+    "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted,
 }
 
 _LINES = r"""
