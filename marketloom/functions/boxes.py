@@ -79,6 +79,11 @@ def boxes_in(completion: str | None) -> list[str] | None:
     return None
 
 
-@F.pandas_udf("array<string>")
-def parse_completion(completions: pd.Series) -> pd.Series:
-    return completions.map(boxes_in)
+def parse_completion(completion: Column) -> Column:
+    """array<string> of the boxes in raw completions."""
+
+    @F.pandas_udf("array<string>")
+    def run(completions: pd.Series) -> pd.Series:
+        return completions.map(boxes_in)
+
+    return run(completion)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SKIPPED = frozenset("script style nav footer header aside noscript template svg form button".split())
@@ -78,7 +79,12 @@ def _structured(blocks: list[str]) -> str | None:
     return None
 
 
-@F.pandas_udf("struct<title: string, text: string>")
-def page_text(html: pd.Series, domain: pd.Series) -> pd.DataFrame:
-    found = [read_page(h, d) or {"title": None, "text": None} for h, d in zip(html, domain)]
-    return pd.DataFrame(found, columns=["title", "text"])
+def page_text(html: Column, domain: Column) -> Column:
+    """struct(title, text)."""
+
+    @F.pandas_udf("struct<title: string, text: string>")
+    def run(pages: pd.Series, domains: pd.Series) -> pd.DataFrame:
+        found = [read_page(h, d) or {"title": None, "text": None} for h, d in zip(pages, domains)]
+        return pd.DataFrame(found, columns=["title", "text"])
+
+    return run(html, domain)

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.semantics import array_or_null
+from marketloom.semantics import array_or_null, stripped
 
 MAX_UNIVERSE = 100_000
 
@@ -91,7 +91,7 @@ class Dictionary:
 
 def universe_of(table: DataFrame) -> Universe:
     """The universe's rows on the driver; refuses to grow beyond a dimension."""
-    rows = table.select(F.upper(F.trim("ticker")).alias("t"), "company_name", "segment").filter(F.col("t") != "").limit(MAX_UNIVERSE + 1).collect()
+    rows = table.select(F.upper(stripped(F.col("ticker"))).alias("t"), "company_name", "segment").filter(F.col("t") != "").limit(MAX_UNIVERSE + 1).collect()
     if len(rows) > MAX_UNIVERSE:
         raise ValueError(f"the universe has more than {MAX_UNIVERSE} rows")
     return tuple(sorted((r.t, r.company_name, r.segment) for r in rows))
@@ -131,7 +131,7 @@ def derived_tags(articles: DataFrame, table: DataFrame, *, with_text: bool = Tru
     """
     universe = universe_of(table)
     segment = F.create_map(*[F.lit(x) for t, _, s in universe if s for x in (t, s)]) if any(s for *_, s in universe) else F.create_map().cast("map<string,string>")
-    listed = F.filter(F.transform(F.coalesce("tickers", F.array().cast("array<string>")), lambda x: F.upper(F.trim(x))), lambda x: x.isNotNull() & (x != ""))
+    listed = F.filter(F.transform(F.coalesce("tickers", F.array().cast("array<string>")), lambda x: F.upper(stripped(x))), lambda x: x.isNotNull() & (x != ""))
     found = mentioned(F.concat_ws("\n", F.coalesce("title", F.lit("")), F.coalesce("content", F.lit(""))), universe) if with_text else F.array().cast("array<string>")
     rows = articles.select("id", listed.alias("_t"), found.alias("_f")).withColumn("primary_ticker", F.get("_t", F.lit(0)))
     rows = rows.withColumn("primary_segment", F.try_element_at(segment, F.col("primary_ticker")))

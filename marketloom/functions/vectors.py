@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+DIGITS = 9
 SEED_BLOCK = 2048  # seeds that are broadcast together
 
 
@@ -29,7 +30,7 @@ def cosine_to(column: Column, vector: list[float]) -> Column:
         out = np.full(len(values), np.nan)
         fit = np.flatnonzero(values.map(lambda v: v is not None and len(v) == len(target)))
         if len(fit):
-            out[fit] = unit(np.stack(values.iloc[fit].to_numpy()).astype(np.float64)) @ target
+            out[fit] = np.round(unit(np.stack(values.iloc[fit].to_numpy()).astype(np.float64)) @ target, DIGITS)
         return pd.Series(out).where(np.isfinite(out), None)
 
     return cosine(column)
@@ -61,12 +62,12 @@ def nearest(seeds: DataFrame, corpus: DataFrame, k: int, *, floor: float = -1.0,
                 if keep:
                     scope = {f"s_{c}": v[:, None] for c, v in fields.items()} | {f"c_{c}": batch.column(c).to_numpy(zero_copy_only=False)[None, :] for c in names}
                     s[~np.broadcast_to(eval(keep, {"np": np}, scope), s.shape)] = -9  # noqa: S307 - an expression of the caller's own code
+                s = np.round(s, DIGITS)  # copies tie, whatever the order of their sums
                 top = min(k, s.shape[1])
-                at = np.argpartition(-s, top - 1, axis=1)[:, :top] if top < s.shape[1] else np.broadcast_to(np.arange(top), s.shape)
-                value = np.take_along_axis(s, at, 1)
-                i, j = np.nonzero(value > max(floor, -8))
+                least = -np.partition(-s, top - 1, axis=1)[:, top - 1 : top]
+                i, j = np.nonzero((s >= least) & (s > max(floor, -8)))  # ties with the last one stay, the window decides by id
                 other = batch.column("id").to_numpy(zero_copy_only=False)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(other[at[i, j]]), pa.array(value[i, j])], names=["seed_id", "id", "similarity"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(other[j]), pa.array(s[i, j])], names=["seed_id", "id", "similarity"])
 
         parts.append(corpus.mapInArrow(run, "seed_id bigint, id bigint, similarity double"))
     found = parts[0]

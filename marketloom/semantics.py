@@ -19,14 +19,19 @@ def contains(array: Column, value: Column | str) -> Column:
     return F.coalesce(F.array_contains(F.array_compact(array), value if isinstance(value, Column) else F.lit(value)), F.lit(False))
 
 
+def stripped(c: Column) -> Column:
+    """Without white space at its ends, no-break spaces included."""
+    return F.regexp_replace(c, r"^[\s\u00a0]+|[\s\u00a0]+$", "")
+
+
 def blank_to_null(c: Column) -> Column:
-    trimmed = F.trim(c)
+    trimmed = stripped(c)
     return F.when(trimmed != "", trimmed)
 
 
 def collapsed(c: Column) -> Column:
     """Every run of white space one blank, none outside."""
-    return F.trim(F.regexp_replace(c, r"[\s ]+", " "))
+    return F.trim(F.regexp_replace(c, r"[\s\u00a0]+", " "))
 
 
 def array_or_null(c: Column) -> Column:
@@ -57,7 +62,7 @@ def session_of(ts: Column) -> Column:
 
 def feed_time(text: Column) -> Column:
     """The instant a feed's text names, in any of its spellings, or null."""
-    plain = F.regexp_replace(F.trim(text), "Z$", "+00:00")
+    plain = F.regexp_replace(stripped(text), "Z$", "+00:00")
     return F.coalesce(F.try_to_timestamp(plain, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX")), F.try_to_timestamp(plain, F.lit("yyyy-MM-dd HH:mm:ss")), F.try_to_timestamp(plain, F.lit("yyyy-MM-dd")))
 
 
