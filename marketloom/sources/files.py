@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.semantics import blank_to_null, feed_time
+from marketloom.semantics import blank_to_null, feed_time, stripped
 
 NEWS_FIELDS = ("ticker", "article_url", "published_utc", "sentiment", "sentiment_reasoning", "publisher_name")
 
@@ -38,8 +38,8 @@ def scrape_jobs(spark: SparkSession, path: str) -> DataFrame:
     """(url, tickers, published_utc, publisher) of each row with an address; tickers as they are spelled."""
     df = _csv(spark, path)
     listed = F.coalesce(*[F.when(F.trim(c) != "", F.col(c)) for c in ("tickers", "ticker") if c in df.columns], F.lit(""))
-    symbols = F.filter(F.transform(F.split(listed, ","), F.trim), lambda x: x != "")
-    return df.filter(F.trim("article_url") != "").select(F.trim("article_url").alias("url"), symbols.alias("tickers"), feed_time(F.col("published_utc")).alias("published_utc"), blank_to_null(F.col("publisher_name")).alias("publisher"))
+    symbols = F.filter(F.transform(F.split(listed, ","), lambda x: stripped(x)), lambda x: x != "")
+    return df.filter(stripped(F.col("article_url")) != "").select(stripped(F.col("article_url")).alias("url"), symbols.alias("tickers"), feed_time(F.col("published_utc")).alias("published_utc"), blank_to_null(F.col("publisher_name")).alias("publisher"))
 
 
 def universe_csv(spark: SparkSession, path: str) -> DataFrame:
