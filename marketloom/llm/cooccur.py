@@ -27,7 +27,7 @@ SUMS = "item_a string, item_b string, n bigint"
 
 def basket(items: Column) -> Column:
     """The set of clean items of one record."""
-    clean = F.transform(items, lambda x: F.upper(F.regexp_replace(F.regexp_replace(x, r"^[\s ]*\$*[\s ]*", ""), r"[\s ]+$", "")))
+    clean = F.transform(items, lambda x: F.upper(F.regexp_replace(F.regexp_replace(x, r"^[\s ]*\$*[\s ]*", ""), r"[\s ]+$", "")))
     return F.array_distinct(F.filter(clean, lambda x: x.isNotNull() & (x != "")))
 
 
