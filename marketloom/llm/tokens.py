@@ -53,6 +53,7 @@ class Transducer:
     def _reset(self) -> None:
         self.states: list[tuple[bytes, tuple[int, ...], int]] = [(b"", (), -1)]
         self.number: dict[tuple[bytes, tuple[int, ...], int], int] = {self.states[0]: 0}
+        self.open: list[tuple[int, ...]] = [(0,)]  # by state: the positions of its window from which a token may still grow
         self.arcs: dict[int, tuple[int, bytes]] = {}
 
     def merged(self, word: bytes) -> list[int]:
@@ -89,7 +90,7 @@ class Transducer:
         window, lasts, before = self.states[state]
         window, found = window + bytes([byte]), -1
         end = len(window)
-        for start in range(max(0, end - self.longest), end):
+        for start in self.open[state]:
             piece = window[start:]
             if (token := self.ranks.get(piece)) is None or not self.stands(piece):
                 continue
@@ -100,7 +101,7 @@ class Transducer:
             break
         lasts = (*lasts, found)
         # positions from which a longer token may still start; 0 is the settled boundary
-        live = [p for p in range(max(0, end - self.longest + 1), end + 1) if p == end or window[p:] in self.prefixes]
+        live = [p for p in self.open[state] if window[p:] in self.prefixes] + [end]
         chains = [self._boundaries(lasts, p) for p in live]
         shared = chains[0]
         for chain in chains[1:]:
@@ -114,10 +115,12 @@ class Transducer:
             usable = {p for chain in chains for p in chain}
             window, before = window[cut:], out[-1]
             lasts = tuple(t if i + 1 in usable else -2 for i, t in enumerate(lasts) if i >= cut)
+            live = [p - cut for p in live]
         key = (window, lasts, before)
         if (number := self.number.get(key)) is None:
             number = self.number[key] = len(self.states)
             self.states.append(key)
+            self.open.append(tuple(live))
         return number, np.array(out, np.int32).tobytes()
 
     def _boundaries(self, lasts: tuple[int, ...], position: int) -> list[int]:
