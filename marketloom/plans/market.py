@@ -188,3 +188,56 @@ def ordered_collect(t: Tables) -> DataFrame:
 @query("""SELECT n_name, count(*) AS orders, max(o_totalprice) AS most FROM orders JOIN customer ON c_custkey = o_custkey JOIN nation ON n_nationkey = c_nationkey GROUP BY n_name""")
 def dimension_join(t: Tables) -> DataFrame:
     return t.orders.join(t.customer, F.col("c_custkey") == F.col("o_custkey")).join(F.broadcast(t.nation), F.col("n_nationkey") == F.col("c_nationkey")).groupBy("n_name").agg(F.count("*").alias("orders"), F.max("o_totalprice").alias("most"))
+
+
+@query("""SELECT user_id, epoch_us(date_trunc('hour', ts)) AS hour_us, arg_min(value, event_id) AS value FROM events GROUP BY user_id, date_trunc('hour', ts)""")
+def bars_first_per_time(t: Tables) -> DataFrame:
+    """Of several bars at one time the first counts."""
+    rows = _bars(t).select("user_id", F.date_trunc("hour", "ts").alias("hour"), "event_id", "value")
+    return bars.first_per_time(rows, "user_id", "hour", "event_id").select("user_id", F.unix_micros("hour").alias("hour_us"), "value")
+
+
+@query("""
+WITH i AS (SELECT event_id AS iid, user_id, ts AS a, ts + INTERVAL 6 HOUR AS b FROM events WHERE event_type = 'error')
+SELECT iid, count(*) AS inside, sum(value) AS total FROM i JOIN events e ON e.user_id = i.user_id AND e.ts >= a AND e.ts < b GROUP BY iid
+""")
+def interval_join_by_bins(t: Tables) -> DataFrame:
+    """Events within six hours after an error of the same key: an equi-join on (key, bin) instead of comparing all of a key's rows."""
+    width = 6 * 3600
+    rows = _bars(t)
+    spans = rows.filter("event_type = 'error'").select(F.col("event_id").alias("iid"), "user_id", F.col("ts").alias("a"), (F.col("ts") + F.expr("interval 6 hours")).alias("b"))
+    bin_of = lambda c: F.floor(F.unix_seconds(c) / width)
+    spans = spans.withColumn("bin", F.explode(F.sequence(bin_of(F.col("a")), bin_of(F.col("b")))))
+    joined = rows.withColumn("bin", bin_of(F.col("ts"))).join(spans, ["user_id", "bin"]).filter((F.col("ts") >= F.col("a")) & (F.col("ts") < F.col("b")))
+    return joined.groupBy("iid").agg(F.count("*").alias("inside"), F.sum("value").alias("total"))
+
+
+@query("""
+WITH p(prefix, price) AS (VALUES ('judge', 1.0), ('judge-a', 2.5)), m AS (SELECT DISTINCT model FROM article_sentiment)
+SELECT s.model, count(*) AS n, arg_max(price, length(prefix)) * count(DISTINCT article_id) / 2 AS cost FROM article_sentiment s LEFT JOIN p ON starts_with(s.model, prefix) GROUP BY s.model
+""")
+def longest_prefix_join(t: Tables) -> DataFrame:
+    """A price per model by the longest prefix that fits it; the models are found first, so the join sees each once."""
+    prices = t.spark.createDataFrame([("judge", 1.0), ("judge-a", 2.5)], "prefix string, price double")
+    models = t.article_sentiment.groupBy("model").agg(F.count("*").alias("rows"), F.countDistinct("article_id").alias("articles"))
+    fits = models.join(F.broadcast(prices), F.col("model").startswith(F.col("prefix")), "left")
+    best = fits.groupBy("model", "rows", "articles").agg(F.count("*").alias("k"), F.max_by("price", F.length("prefix")).alias("price"))
+    return best.select("model", (F.col("rows") * F.col("k")).alias("n"), (F.col("price") * F.col("articles") / 2).alias("cost"))
+
+
+@query("""
+WITH w AS (SELECT range AS id FROM range(1, 2001, 7))
+SELECT w.id, a.id IS NULL AS missing, a.status FROM w LEFT JOIN articles a ON a.id = w.id
+""")
+def missing_ids_restored(t: Tables) -> DataFrame:
+    """Wanted ids that are not there come out with nulls."""
+    wanted = t.spark.range(1, 2001, 7)
+    found = t.articles.select(F.col("id"), F.lit(True).alias("there"), "status")
+    return wanted.join(found, "id", "left").select("id", F.col("there").isNull().alias("missing"), "status")
+
+
+@query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k <= 3""")
+def top_per_group(t: Tables) -> DataFrame:
+    """The three largest of each key; tasks cut their groups before the shuffle."""
+    rank = F.row_number().over(Window.partitionBy("o_custkey").orderBy(F.desc("o_totalprice"), "o_orderkey"))
+    return t.orders.withColumn("k", rank).filter("k <= 3").select("o_custkey", "o_orderkey", "o_totalprice")

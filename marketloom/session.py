@@ -23,15 +23,21 @@ def build_session(app: str = "marketloom", cores: int | str = "*", shuffle_parti
     )
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share: the one `spark.checkpoint.dir` names; a temporary one only where that is unset."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = context.getConf().get("spark.checkpoint.dir", None)
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="marketloom-"))
+    return str(context.getCheckpointDir())
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """`df` written to the shared checkpoint folder and read back, so that its lineage ends there.
 
-    The folder is the one the cluster names in `spark.checkpoint.dir`; a temporary one is set only where that is unset.
+    The written copy outlives a lost executor; see `shared_folder` for its place.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        named = context.getConf().get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="marketloom-checkpoint-"))
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
