@@ -30,6 +30,7 @@ BITS = 16
 ORDERS = (2, 3, 4)
 SAMPLE_ROWS = 3000  # labelled rows the model is fitted on, at most about so many
 MIN_WORDS = 8
+BLOCK = 400_000  # characters scored at once
 LANGUAGES = ("de", "en", "es", "fr", "it", "pt")
 #: Two- and three-letter codes and English names.
 NAMES = {
@@ -74,8 +75,15 @@ class Model:
 
     def scores(self, lines: list[str]) -> np.ndarray:
         """Summed log-probabilities, (lines, languages)."""
-        if not lines:
-            return np.zeros((0, len(self.languages)))
+        parts, start, size = [], 0, 0
+        for end, line in enumerate(lines, 1):  # a bounded number of characters at a time, a longer line alone
+            size += len(line)
+            if size >= BLOCK or end == len(lines):
+                parts.append(self._block(lines[start:end]))
+                start, size = end, 0
+        return np.concatenate(parts) if parts else np.zeros((0, len(self.languages)))
+
+    def _block(self, lines: list[str]) -> np.ndarray:
         text = "".join(lines)
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         if len(points) != len(text):  # a letter whose lower case has another length
