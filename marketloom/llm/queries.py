@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.llm import boilerplate, canonical, cooccur, languages, mixture, personal, repeated_lines, residue, similar, tokens
-from marketloom.session import table
+from marketloom.session import checkpointed, table
 
 
 def vocabulary_path() -> str:
@@ -100,7 +100,7 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixture(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    counted = tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path())
+    counted = checkpointed(tokens.count_tokens(table(spark, sf_dir, "documents"), vocabulary_path()))  # three short columns, encoded once
     rated = mixture.rates(counted, table(spark, sf_dir, "mix_targets"))
     return mixture.uses(counted, rated), rated
 
