@@ -7,6 +7,9 @@ re-estimates both word distributions, the trusted passages being free to turn ne
 scored with the fitted log ratios, and a record is decided from its passages: it is unusable when some passage is residue and
 fewer than `MIN_STORY` passages tell a story. A slot left unfilled, or filled with a program's null value, decides alone.
 
+Two anchors hold the EM in place: passages that recur among unlabelled records with a story are surroundings and stay negative,
+passages that recur among trusted records and never beside a story are notes and stay positive.
+
 The fit reads a bounded, hash-chosen sample of records (`SAMPLE_POSITIVE`, `SAMPLE_UNLABELLED`); the scoring covers all rows.
 
 Defined results: null and blank contents are no cases; a null status, error or http status is no report of failure; without any
@@ -29,8 +32,10 @@ SAMPLE_POSITIVE = 3000
 SAMPLE_UNLABELLED = 5000
 BITS = 16
 ROUNDS = 8
-LONG_WORDS = 25  # a line of so many words is a paragraph
+LONG_WORDS = 25  # a line of so many words that ends as a sentence is a paragraph
+SENTENCE_ENDS = (".", "!", "?", "\"", "”", "»", ")", "…")
 MIN_STORY = 2  # paragraphs that make a story; a failed page may carry one teaser
+POWERS = np.cumprod(np.full(4096, 0x9E3779B97F4A7C15, np.uint64))
 TOKENS = re.compile(r"\w+|\n")
 PATH = re.compile(r"(?<![\w/])/\S+/\S+")
 
@@ -72,11 +77,18 @@ class Lines:
     pairs: np.ndarray
     pair_line: np.ndarray
     lengths: np.ndarray  # words per passage; 0 for blank lines
+    closed: np.ndarray  # whether a passage ends as a sentence does; headlines do not
+    keys: np.ndarray  # a hash of each passage's words, numbers masked; 0 for blank lines
+
+    @property
+    def paragraphs(self) -> np.ndarray:
+        return (self.lengths >= LONG_WORDS) & self.closed
 
 
 def parsed(text: str, columns: Columns) -> Lines:
     if len(columns) > 400_000:
         columns.clear()
+    closed = np.array([x.rstrip().endswith(SENTENCE_ENDS) for x in text.split("\n")])
     if "/" in text:
         text = PATH.sub("pathmark", text)
     words = TOKENS.findall(text.lower())
@@ -86,21 +98,38 @@ def parsed(text: str, columns: Columns) -> Lines:
     both = real[1:] & real[:-1]
     pairs = ((ids[:-1] * 1000003 ^ ids[1:] * 7919) * 2654435761 >> 9 & (1 << BITS) - 1)[both] if len(ids) > 1 else ids[:0]
     lengths = np.bincount(line[real], minlength=int(line[-1]) + 1 if len(line) else 1)
-    return Lines(ids[real], line[real], pairs, line[1:][both] if len(ids) > 1 else line[:0], lengths)
+    filled = np.flatnonzero(lengths)
+    starts = np.cumsum(lengths)[filled] - lengths[filled]
+    keys = np.zeros(len(lengths), np.uint64)
+    if len(filled):
+        at = np.arange(int(real.sum())) - np.repeat(starts, lengths[filled])
+        keys[filled] = np.add.reduceat((ids[real].astype(np.uint64) + np.uint64(1)) * POWERS[at % len(POWERS)], starts)
+    return Lines(ids[real], line[real], pairs, line[1:][both] if len(ids) > 1 else line[:0], lengths, closed, keys)
 
 
 @dataclass
 class Residue:
-    """Log ratios of hashed words and pairs, and the offset; a passage is residue above 0."""
+    """Log ratios of hashed words and pairs, and the offset; a passage is residue above 0.
+
+    Passages that the sample knows keep what they were there: surroundings of stories, or notes of trusted records.
+    """
 
     word_ratio: np.ndarray
     pair_ratio: np.ndarray
     offset: float
+    surroundings: frozenset[int] = frozenset()
+    notes: frozenset[int] = frozenset()
 
     def scores(self, x: Lines) -> np.ndarray:
         n = len(x.lengths)
         s = np.bincount(x.word_line, self.word_ratio[x.words], n) + np.bincount(x.pair_line, self.pair_ratio[x.pairs], n) + self.offset
-        return np.where(x.lengths > 0, s, -np.inf)
+        s = np.where(x.lengths > 0, s, -np.inf)
+        for i, key in enumerate(x.keys.tolist()):
+            if key in self.surroundings:
+                s[i] = -np.inf
+            elif key in self.notes:
+                s[i] = max(s[i], 1.0)
+        return s
 
 
 def fit(positive: list[str], unlabelled: list[str], rounds: int = ROUNDS) -> Residue:
@@ -118,27 +147,38 @@ def fit(positive: list[str], unlabelled: list[str], rounds: int = ROUNDS) -> Res
     words, word_at = np.concatenate([t.words for t in texts]), np.concatenate([t.word_line + b for t, b in zip(texts, base)])
     pairs, pair_at = np.concatenate([t.pairs for t in texts]), np.concatenate([t.pair_line + b for t, b in zip(texts, base)])
     record = np.repeat(np.arange(len(texts)), np.diff(base))
-    trusted, long, n = record < len(positive), lengths >= LONG_WORDS, len(lengths)
+    trusted, long, n = record < len(positive), np.concatenate([t.paragraphs for t in texts]), len(lengths)
 
     def rates(which: np.ndarray) -> np.ndarray:
         inside = which[word_at]
         seen = np.unique(record[word_at[inside]] * size + words[inside]) % size
         return (np.bincount(seen, minlength=size) + 0.5) / (len(np.unique(record[which])) + 1)
 
+    def common(which: np.ndarray, least: int) -> set[int]:
+        """Passages that stand in at least so many of the records."""
+        seen = np.unique(np.stack([keys[which & (lengths > 0)], record[which & (lengths > 0)].astype(np.uint64)]), axis=1)
+        values, counts = np.unique(seen[0], return_counts=True)
+        return set(values[counts >= least].tolist())
+
+    keys = np.concatenate([t.keys for t in texts])
+    told = ~trusted & (np.bincount(record, long, len(texts)) >= MIN_STORY)[record]
+    surroundings = common(told, 2)
+    notes = common(trusted, 2) - common(told, 1)
+    fixed_no, fixed_yes = np.isin(keys, np.array(sorted(surroundings), np.uint64)), np.isin(keys, np.array(sorted(notes), np.uint64))
     lift = np.log(rates(trusted)) - np.log(rates(~trusted))
     start = np.bincount(word_at, lift[words], n) / np.maximum(lengths, 1)
     weight = 1 / (1 + np.exp(-4 * (start - 1.2)))
     model = None
     for _ in range(rounds):
         stories = np.bincount(record, long & (weight < 0.5), len(texts)) >= MIN_STORY
-        weight = np.where(stories[record] | (lengths == 0), 0.0, weight)
+        weight = np.where(fixed_yes, 1.0, np.where(stories[record] | fixed_no | (lengths == 0), 0.0, weight))
         ratios = []
         for ids, at in ((words, word_at), (pairs, pair_at)):
             yes, no = np.bincount(ids, weight[at], size) + 0.05, np.bincount(ids, 1 - weight[at], size) + 0.05
             ratio = np.log(yes / yes.sum()) - np.log(no / no.sum())
             ratios.append(np.where(np.bincount(ids, minlength=size) > 0, ratio, 0).astype(np.float32))
         prior = math.log((weight.sum() + 1) / ((lengths > 0).sum() - weight.sum() + 1))
-        model = Residue(*ratios, prior)
+        model = Residue(*ratios, prior, frozenset(surroundings), frozenset(notes))
         score = np.bincount(word_at, ratios[0][words], n) + np.bincount(pair_at, ratios[1][pairs], n) + prior
         weight = 1 / (1 + np.exp(-np.clip(score, -30, 30)))
     return model
@@ -151,7 +191,7 @@ def decide(content: str, model: Residue, columns: Columns) -> tuple[bool, float,
     x = parsed(content, columns)
     scores = model.scores(x)
     best = float(scores.max(initial=-1e3))
-    if int(((x.lengths >= LONG_WORDS) & (scores <= 0)).sum()) >= MIN_STORY:
+    if int((x.paragraphs & (scores <= 0)).sum()) >= MIN_STORY:
         return False, best, "story"
     return (True, best, "residue") if best > 0 else (False, best, "none")
 
@@ -162,7 +202,7 @@ def _blank(c: str) -> Column:
 
 def fitted(df: DataFrame, *, id_col: str = "id", text_col: str = "content") -> Residue:
     """The model of a table, from bounded samples of its trusted and its other records."""
-    paragraphs = F.size(F.filter(F.split(F.col(text_col), "\n"), lambda x: F.size(F.split(x, " ")) >= LONG_WORDS))
+    paragraphs = F.size(F.filter(F.split(F.col(text_col), "\n"), lambda x: (F.size(F.split(x, " ")) >= LONG_WORDS) & x.rlike(r"[.!?\"”»)]\s*$")))
     failed = F.coalesce((F.col("status") != "ok") | F.col("error").isNotNull() | (F.col("http_status") >= 400), F.lit(False))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(failed & (paragraphs < MIN_STORY), F.lit(False)).alias("trusted")).filter(~_blank("text"))
     totals = {r.trusted: r["count"] for r in rows.groupBy("trusted").count().collect()}
