@@ -41,13 +41,13 @@ def nearest(seeds: DataFrame, corpus: DataFrame, k: int, *, floor: float = -1.0,
 
     seeds (seed_id bigint, vector, plus columns named in `keep`), corpus (id bigint, vector, plus the same). `keep` is a Python
     expression over numpy arrays: s_<column> and c_<column> broadcast against each other; pairs where it is false are no candidates.
-    Seeds are a stated query set: they are broadcast in blocks of `SEED_BLOCK`, each block against all rows, with a partial top-k per batch.
+    Seeds are a stated query set: they are broadcast in blocks of about `SEED_BLOCK`, each block against all rows, with a partial top-k per batch.
     """
     names = [c for c in corpus.columns if c not in ("id", "vector")]
-    rows = seeds.toPandas()
     spark, parts = seeds.sparkSession, []
-    for start in range(0, max(1, len(rows)), SEED_BLOCK):
-        block = rows.iloc[start : start + SEED_BLOCK]
+    blocks = max(1, -(-seeds.count() // SEED_BLOCK))
+    for number in range(blocks):  # the driver holds one block at a time
+        block = seeds.filter(F.pmod(F.xxhash64("seed_id"), F.lit(blocks)) == number).toPandas()
         matrix = unit(np.stack(block.vector.to_numpy()).astype(np.float64)) if len(block) else np.zeros((0, 1))
         shared = spark.sparkContext.broadcast((matrix, block.seed_id.to_numpy(), {c: block[c].to_numpy() for c in block.columns if c not in ("seed_id", "vector")}))
 

@@ -96,7 +96,7 @@ def related_consolidated(t: Tables) -> DataFrame:
     """Articles related through their boxes: best hit, matching seeds and total."""
     boxes, seeds = _boxes(t), _seeds(t)
     hits = retrieval.box_hits(seeds, boxes, k=20, floor=0.2)
-    hits = hits.join(boxes.select("id", "article_id"), "id").join(F.broadcast(seeds.select("seed_id", F.col("article_id").alias("seed_article"))), "seed_id")
+    hits = hits.join(boxes.select("id", "article_id"), "id").join(seeds.select("seed_id", F.col("article_id").alias("seed_article")), "seed_id")
     top = retrieval.ranked(retrieval.consolidated(hits, ["seed_article"]), ["seed_article"], 5)
     return top.select("seed_article", "article_id", F.round("best", 6).alias("best"), "matches", F.round("total", 6).alias("total"))
 
@@ -124,7 +124,7 @@ def precedents_hybrid(t: Tables) -> DataFrame:
     seeds = rows.filter("id % 50 = 0").select(F.col("id").alias("seed_id"), "vector", "us")
     near = nearest(seeds, rows, 1 << 30, floor=0.3, keep="c_us < s_us").select(F.col("seed_id").alias("seed_article"), F.col("id").alias("article_id"))
     boxes = _boxes(t)
-    mine = boxes.join(F.broadcast(near.select("seed_article").distinct()), F.col("article_id") == F.col("seed_article"), "left_semi").select(F.col("article_id").alias("seed_article"), F.col("vector").alias("sv"))
+    mine = boxes.join(near.select("seed_article").distinct(), F.col("article_id") == F.col("seed_article"), "left_semi").select(F.col("article_id").alias("seed_article"), F.col("vector").alias("sv"))
     pairs = near.join(boxes.select("id", "article_id", "vector"), "article_id").join(mine, "seed_article")
     dot = F.aggregate(F.zip_with("vector", "sv", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
     size = lambda v: F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
