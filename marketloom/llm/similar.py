@@ -111,7 +111,7 @@ def fit_tree(sample: np.ndarray, leaves: int, branching: int = BRANCHING, seed:
                 centres.append(c[j]), first.append(0), count.append(0)
                 own = members[nearest == j]
                 below = round(share * len(own) / max(1, len(members)))
-                if below > 1 and len(own) > 2 * below:
+                if below > 1 and 2 * below < len(own) < len(members):  # equal vectors cannot be split
                     following.append((start + j, own, below))
         level = following
     count_ = np.array(count)
@@ -274,15 +274,15 @@ def _search(reps: DataFrame, tree: Tree, visits: int, k: int, min_similarity: fl
                 rows = asking_rows[s : s + 1024]
                 sims = m[rows] @ target
                 sims[ids[rows][:, None] == target_ids[None, :]] = -2
-                if min_similarity > 0.6:
-                    i, j = np.nonzero(sims >= min_similarity - 1e-6)
-                else:
-                    top = min(k, sims.shape[1])
-                    j = np.argpartition(-sims, top - 1, axis=1)[:, :top]
-                    i = np.repeat(np.arange(len(rows)), top)
-                    j = j.ravel()
-                    good = sims[i, j] >= max(min_similarity, -1.5)
-                    i, j = i[good], j[good]
+                top = min(k, sims.shape[1])
+                near = sims >= min_similarity - 1e-6
+                crowded = near.sum(1) > top  # of many near ones only the nearest go on
+                if crowded.any():
+                    at = np.argpartition(-sims[crowded], top - 1, axis=1)[:, :top]
+                    kept = np.zeros((len(at), sims.shape[1]), bool)
+                    np.put_along_axis(kept, at, True, 1)
+                    near[crowded] = kept & near[crowded]
+                i, j = np.nonzero(near & (sims > -1.5))
                 exact = np.einsum("ij,ij->i", m[rows][i].astype(np.float64), m[inside][j].astype(np.float64))
                 good = exact >= min_similarity
                 out_q.append(ids[rows][i][good]), out_i.append(target_ids[j][good]), out_s.append(exact[good])

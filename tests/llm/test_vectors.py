@@ -68,3 +68,21 @@ def test_best_bin_first_visits_every_leaf_once():
     order = tree.visit(u[:50], tree.leaves)
     assert all(sorted(row) == list(range(tree.leaves)) for row in order.tolist())
     assert (tree.visit(u[:50], 1)[:, 0] == order[:, 0]).all()
+
+
+def test_a_third_of_equal_vectors_and_a_dense_cluster(spark, monkeypatch):
+    monkeypatch.setattr(similar, "LEAF_ROWS", 30)
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 24)).astype(np.float32)
+    x[:200] = x[0]
+    x[200:260] = x[0] + rng.normal(size=(60, 24)) * 0.02
+    df = spark.createDataFrame([(i, v.tolist(), "", 0) for i, v in enumerate(x)], SCHEMA)
+    near = {}
+    for r in similar.most_similar(df, k=5, min_similarity=0.85, target_recall=1.0).collect():
+        near.setdefault(r.id, set()).add(r.other_id)
+    assert near[0] == {1, 2, 3, 4, 5} and near[150] == {0, 1, 2, 3, 4}
+    want = {}
+    for a, b in truth(x, 5, 0.85):
+        want.setdefault(a, set()).add(b)
+    hits = sum(len(near.get(a, set()) & want[a]) for a in range(200, 600) if a in want)
+    assert hits >= 0.95 * sum(len(want[a]) for a in range(200, 600) if a in want)
