@@ -234,6 +234,16 @@ def test_lexicon_and_tables(spark):
     assert personal.find_pieces(df.limit(0)).count() == 0
 
 
+def test_names_seen_once_in_a_large_table(spark):
+    texts = [f"By {a} {b}\nbody" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "De Marn", "O'Dorr")] * 9
+    rare = [(100_000, "By Zelda Quillon\nbody"), (100_001, "then Zelda Quillon left"), (100_002, "By Jo Wu\nbody"), (100_003, "By Acme Research Group\nbody")]
+    filler = spark.range(40_000).selectExpr("CAST(id + 200000 AS INT) AS doc_id", "'nothing' AS text")
+    df = spark.createDataFrame([*enumerate(texts), *rare], "doc_id int, text string").unionByName(filler)
+    got = {(r.doc_id, r.value) for r in personal.find_pieces(df).collect() if r.kind == "name"}
+    assert {(i, v) for i, v in got if i >= 100_000} >= {(100_000, "Zelda Quillon"), (100_001, "Zelda Quillon"), (100_002, "Jo Wu")}
+    assert {i for i, _ in got if i < 100_000} == set(range(81))
+
+
 # --- the queries ------------------------------------------------------------------------------------------------------------
 
 
