@@ -7,8 +7,10 @@ unique runs are kept, unless their place on the page tells otherwise: outside th
 whole, or in a kind of element whose blocks are mostly covered on this host. Kept although repeated: bylines (a pattern
 with many fillers before the first paragraph, or the author's name) and notes on a company of the headline.
 
-A host is cut into blocks of `PAGES` pages by a hash of the id, so that a host with a third of all pages is many tasks; a run on
-one page in a hundred is found in every such block.
+A host is cut into blocks of `PAGES` pages by a hash of the id, so that a host with a third of all pages is many tasks. Blocks only
+name the runs and list what they saw; every count that decides (pages of a run, fillers of a byline, shares of a kind of element) is
+taken over the whole host and sent back to the blocks, so the result does not depend on how a host is cut. A page is told from
+another by its headline, or by its content where the headline is empty or is that of most pages of the host.
 
 Defined results: null html or null content gives no rows; blank lines are numbered but never found; a null host is a host
 of its own; a content line that is not on its page is judged by repetition alone; an empty table gives no rows; repeated rows are
@@ -24,11 +26,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.session import checkpointed
+
 PAGES = 1500
 MIN_PAGES = 4
+MIN_FILLERS = 3
 WINDOW = 64
 MOSTLY = 0.6
 
@@ -42,7 +48,7 @@ INLINE = frozenset("a b strong i em small span font u sup sub mark abbr time".sp
 VOID = frozenset("meta br img link input hr wbr source col area base embed".split())
 CLOSES_P = frozenset("p div ul ol li table tr td h1 h2 h3 h4 h5 h6 section article main footer header aside nav form blockquote address center hr".split())
 
-LINK, INSIDE, AUTHOR, HEADLINE, EARLY = 1, 2, 4, 8, 16
+LINK, INSIDE, AUTHOR, HEADLINE, EARLY, ELSEWHERE = 1, 2, 4, 8, 16, 32
 
 
 class Hash(dict):
@@ -126,6 +132,10 @@ def blocks_of(page: str) -> tuple[str, list[Block]]:
     return title, out
 
 
+def _digest(text: str) -> int:
+    return int.from_bytes(hashlib.blake2b(" ".join(text.lower().split()).encode(), digest_size=8).digest(), "big") >> 1
+
+
 def page_row(page: str, content: str, author: str | None, hashed: Hash) -> dict:
     """What the host's task needs of one page: token stream, blocks with their place and flags, and the blocks of the content's lines."""
     if len(hashed) > 600_000:
@@ -148,7 +158,7 @@ def page_row(page: str, content: str, author: str | None, hashed: Hash) -> dict:
         nonlocal first_paragraph
         inside = container is not None and path[: len(container)] == container
         first_paragraph |= inside and not link and len(key) >= 20
-        flag = LINK * link + INSIDE * inside + EARLY * (not first_paragraph) + AUTHOR * bool(author and author.lower() in text.lower())
+        flag = LINK * link + INSIDE * inside + EARLY * (not first_paragraph) + AUTHOR * bool(author and author.lower() in text.lower()) + ELSEWHERE * (wrap == "?")
         names = [n for n in NAME.findall(text) if not (site and site in n)]
         if any(n.rstrip(".") in headline for n in names):
             flag |= HEADLINE
@@ -182,7 +192,8 @@ def page_row(page: str, content: str, author: str | None, hashed: Hash) -> dict:
                 add(line, key, container or (), "?", False)
         numbers.append(n), at.append(block)
     starts.append(len(tokens))
-    return {"headline": int.from_bytes(hashlib.blake2b(" ".join(headline.lower().split()).encode(), digest_size=8).digest(), "big") >> 1, "tokens": tokens, "starts": starts, "sigs": sigs, "flags": flags, "patterns": patterns, "fillers": fillers, "lines": numbers, "at": at, "placed": container is not None}
+    body = _digest(content)
+    return {"headline": _digest(headline) if headline.strip() else body, "body": body, "tokens": tokens, "starts": starts, "sigs": sigs, "flags": flags, "patterns": patterns, "fillers": fillers, "lines": numbers, "at": at, "placed": container is not None}
 
 
 def suffix_ranks(tokens: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
@@ -217,52 +228,120 @@ def run_classes(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return np.unique(a.astype(np.int64) << 32 | last, return_inverse=True)[1]
 
 
-def _distinct(keys: np.ndarray, values: np.ndarray, size: int) -> np.ndarray:
-    """Number of distinct values by key."""
-    both = np.unique(np.stack([keys, values]), axis=1)
-    return np.bincount(both[0], minlength=size)
-
-
-def judged(ids: np.ndarray, pages: dict[str, list], min_pages: int) -> tuple[list[int], list[int]]:
-    """Row numbers and line numbers of boilerplate lines among one host's pages."""
-    lengths = [len(x) for x in pages["tokens"]]
-    base = np.cumsum([0, *lengths])
-    tokens = np.concatenate([np.asarray(x, np.int64) for x in pages["tokens"]]) if lengths else np.zeros(0, np.int64)
-    starts = np.concatenate([np.asarray(s[:-1], np.int64) + b for s, b in zip(pages["starts"], base)])
-    if not len(starts):
-        return [], []
-    ends = np.concatenate([np.asarray(s[1:], np.int64) + b for s, b in zip(pages["starts"], base)])
-    counts = [len(s) for s in pages["sigs"]]
-    page = np.repeat(np.arange(len(counts)), counts)
-    headline = np.unique(np.asarray(pages["headline"], np.int64), return_inverse=True)[1][page]
-    join = lambda c: np.concatenate([np.asarray(x, np.int64) for x in pages[c]])
-    sigs, flags, patterns, fillers = join("sigs"), join("flags"), join("patterns"), join("fillers")
-    classes = run_classes(tokens, starts, ends)
-    covered = (_distinct(classes, headline, classes.max() + 1) >= min_pages)[classes]
+def run_names(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 63-bit name for each run, equal in every block exactly where `run_classes` is equal within one."""
+    _, at, classes = np.unique(run_classes(tokens, starts, ends), return_index=True, return_inverse=True)
+    names = np.empty(len(at), np.int64)
+    for k, (b, e) in enumerate(zip(starts[at].tolist(), ends[at].tolist())):
+        n = min(1 << (e - b).bit_length() - 1, WINDOW)
+        names[k] = int.from_bytes(hashlib.blake2b(tokens[b : b + n].tobytes() + tokens[e - n : e].tobytes() + (e - b).to_bytes(8), digest_size=8).digest(), "big") >> 1
+    return names[classes]
+
+
+def _first_few(keys: np.ndarray, a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
+    """Positions of the distinct (key, a, b): of each key at most `most` smallest a, of each (key, a) at most `most` b. That is all of them, or enough to tell that there are `most`."""
+    order = np.lexsort((b, a, keys))
+    changes = lambda x: np.concatenate([np.ones(min(1, len(x)), bool), x[order][1:] != x[order][:-1]])
+    new_key = changes(keys)
+    new_a = new_key | changes(a)
+    new = new_a | changes(b)
+    order, new_key, new_a = order[new], new_key[new], new_a[new]
+    here, nth = np.arange(len(order)), np.cumsum(new_a)
+    first = lambda x: np.maximum.accumulate(np.where(x, here, 0))
+    return order[(nth - nth[first(new_key)] < most) & (here - first(new_a) < most)]
+
+
+def _flat(group: pa.Table, column: str) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a column of lists in one array, and the lists' lengths."""
+    lists = group.column(column).combine_chunks()
+    return lists.flatten().to_numpy().astype(np.int64), pc.list_value_length(lists).to_numpy().astype(np.int64)
+
+
+def _runs_of(group: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all blocks of text: start within the page, length, and page."""
+    starts, sizes = _flat(group, "starts")
+    last = np.cumsum(sizes) - 1
+    return np.delete(starts, last), np.delete(np.diff(starts), last[:-1]), np.repeat(np.arange(len(sizes)), sizes - 1)
+
+
+PAGE, RUN, PATTERN, HEAD, SIG = range(5)  # kinds of rows
+
+
+def seen_in(group: pa.Table, min_pages: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]]:
+    """Names of the runs of one block of a host, and what else it saw: (kind, keys, a, b)."""
+    tokens, sizes = _flat(group, "tokens")
+    starts, length, page = _runs_of(group)
+    starts = starts + (np.cumsum(sizes) - sizes)[page]
+    runs = run_names(tokens, starts, starts + length) if len(starts) else np.zeros(0, np.int64)
+    headline, body = (group.column(c).to_numpy() for c in ("headline", "body"))
+    heads, which, pages = np.unique(headline, return_inverse=True, return_counts=True)
+    place = np.empty(len(heads), np.int64)
+    place[np.argsort(-pages, kind="stable")] = np.arange(len(heads))  # headlines of many pages first
+    (sigs, _), (patterns, _), (fillers, _) = (_flat(group, c) for c in ("sigs", "patterns", "fillers"))
+    few = _first_few(runs, place[which[page]], body[page], min_pages)
+    named = np.flatnonzero(patterns > 0)
+    named = named[_first_few(patterns[named], fillers[named], np.zeros(len(named), np.int64), MIN_FILLERS)]
+    kinds = np.unique(sigs)
+    return runs, [(RUN, runs[few], headline[page[few]], body[page[few]]), (PATTERN, patterns[named], fillers[named], fillers[named]), (HEAD, heads, pages, pages), (SIG, kinds, kinds, kinds)]
+
+
+def _bad(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Of all blocks of text whether they are boilerplate by repetition or as links, and whether they are kept although repeated."""
+    kind, key = marks.column("kind").to_numpy(), marks.column("key").to_numpy()
+    runs, flags, patterns = (_flat(group, c)[0] for c in ("runs", "flags", "patterns"))
+    covered, byline = np.isin(runs, key[kind == RUN]), np.isin(patterns, key[kind == PATTERN]) & ((flags & EARLY) > 0)
     link, inside = (flags & LINK) > 0, (flags & INSIDE) > 0
-    place = np.unique(patterns, return_inverse=True)[1]
-    byline = (patterns > 0) & ((flags & EARLY) > 0) & (_distinct(place, fillers, place.max() + 1)[place] >= 3)
     kept = inside & ~link & (byline | ((flags & AUTHOR) > 0) | ((flags & HEADLINE) > 0))
-    bad = link | covered & ~kept
-    sig = np.unique(sigs, return_inverse=True)[1]
-    share = np.bincount(sig, bad & ~kept) / np.bincount(sig)
-    words = np.bincount(sig, np.where(bad, 0, ends - starts))
-    own = words >= 0.2 * words.max(initial=1)  # the kinds of element that hold the host's own text
-    doubtful = (share >= MOSTLY) & ~own & (np.bincount(sig) >= min_pages)
-    placed = np.asarray(pages["placed"], bool)[page]
-    boiler = bad | doubtful[sig] & ~kept | placed & ~inside
-    rows, lines, first = [], [], np.cumsum([0, *counts])
-    for i in range(len(counts)):
-        flag = boiler[np.asarray(pages["at"][i], np.int64) + first[i]] if pages["at"][i] else []
-        for n, b in zip(pages["lines"][i], flag):
-            if b:
-                rows.append(i), lines.append(n)
-    return rows, lines
-
-
-_PAGE = "headline bigint, tokens array<int>, starts array<int>, sigs array<int>, flags array<int>, patterns array<int>, fillers array<int>, lines array<int>, `at` array<int>, placed boolean"
-_KINDS = {"headline": pa.int64(), "placed": pa.bool_()}
-_NAMES = ("headline", "tokens", "starts", "sigs", "flags", "patterns", "fillers", "lines", "at", "placed")
+    return link | covered & ~kept, kept
+
+
+def shares_of(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each kind of element of one block of a host: number of blocks of text, how many are boilerplate, words of the others."""
+    bad, kept = _bad(group, marks)
+    kinds, sig = np.unique(_flat(group, "sigs")[0], return_inverse=True)
+    return kinds, np.bincount(sig, minlength=len(kinds)), np.bincount(sig, bad & ~kept, len(kinds)).astype(np.int64), np.bincount(sig, np.where(bad, 0, _runs_of(group)[1]), len(kinds)).astype(np.int64)
+
+
+def judged(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and line numbers of boilerplate lines among the pages of one block of a host."""
+    bad, kept = _bad(group, marks)
+    (sigs, counts), (flags, _), (at, _), (lines, sizes) = (_flat(group, c) for c in ("sigs", "flags", "at", "lines"))
+    doubtful = np.isin(sigs, marks.column("key").to_numpy()[marks.column("kind").to_numpy() == SIG]) & ((flags & ELSEWHERE) == 0)  # a line that isn't on its page has no element
+    placed = np.repeat(group.column("placed").to_numpy(), counts).astype(bool)
+    boiler = bad | doubtful & ~kept | placed & ((flags & INSIDE) == 0)
+    page = np.repeat(np.arange(len(sizes)), sizes)
+    found = boiler[at + (np.cumsum(counts) - counts)[page]]
+    return page[found], lines[found]
+
+
+_PAGE = "headline bigint, body bigint, tokens array<int>, starts array<int>, sigs array<int>, flags array<int>, patterns array<int>, fillers array<int>, lines array<int>, `at` array<int>, placed boolean"
+_KINDS = {"headline": pa.int64(), "body": pa.int64(), "placed": pa.bool_()}
+_NAMES = ("headline", "body", "tokens", "starts", "sigs", "flags", "patterns", "fillers", "lines", "at", "placed")
+_BLOCK = "kind int, keys array<bigint>, a array<bigint>, b array<bigint>, runs array<bigint>, starts array<int>, sigs array<int>, flags array<int>, patterns array<int>, lines array<int>, `at` array<int>, placed boolean"
+_KEPT = ("starts", "sigs", "flags", "patterns", "lines", "at", "placed")
+
+
+def _over_hosts(seen: DataFrame, min_pages: int) -> DataFrame:
+    """(host, cut, kind, key) of the runs and byline patterns that are frequent over the whole host, for each block they are in."""
+    each = seen.filter(F.col("kind").isin(RUN, PATTERN, HEAD)).select("host", "cut", "kind", F.inline(F.arrays_zip("keys", "a", "b"))).withColumnRenamed("keys", "key")
+    heads = each.filter(F.col("kind") == HEAD).groupBy("host", "key").agg(F.sum("a").alias("n"))
+    hosts = heads.groupBy("host").agg(F.sum("n").alias("pages"), F.max_by("key", "n").alias("shared"), F.max("n").alias("n"))
+    # the host's headline that most of its pages have, if there is one: it doesn't tell pages apart
+    shared = hosts.filter((F.col("pages") >= 2 * min_pages) & (2 * F.col("n") > F.col("pages"))).select("host", "shared")
+    marks = each.filter(F.col("kind") != HEAD)
+    told = marks.join(shared, "host", "left").withColumn("told", F.when((F.col("kind") == RUN) & (F.col("a") == F.col("shared")), F.col("b")).otherwise(F.col("a")))
+    least = F.when(F.col("kind") == RUN, min_pages).otherwise(MIN_FILLERS)
+    frequent = told.groupBy("host", "kind", "key").agg(F.count_distinct("told").alias("n")).filter(F.col("n") >= least).select("host", "kind", "key")
+    return marks.select("host", "cut", "kind", "key").distinct().join(frequent, ["host", "kind", "key"], "left_semi").select("host", "cut", "kind", "key")
+
+
+def _doubtful(shares: DataFrame, seen: DataFrame, min_pages: int) -> DataFrame:
+    """(host, cut, kind, key) of the kinds of element whose blocks are mostly boilerplate on the host, unless they hold its own text."""
+    sums = shares.groupBy("host", "key").agg(*(F.sum(c).alias(c) for c in ("n", "bad", "words")))
+    most = sums.groupBy("host").agg(F.greatest(F.max("words"), F.lit(1)).alias("most"))
+    doubtful = sums.join(most, "host").filter((F.col("bad") >= MOSTLY * F.col("n")) & (F.col("words") < 0.2 * F.col("most")) & (F.col("n") >= min_pages)).select("host", "key")
+    kinds = seen.filter(F.col("kind") == SIG).select("host", "cut", "kind", F.explode("keys").alias("key"))
+    return kinds.join(doubtful, ["host", "key"], "left_semi").select("host", "cut", "kind", "key")
 
 
 def boilerplate_lines(df: DataFrame, *, pages: int = PAGES, min_pages: int = MIN_PAGES, id_col: str = "id", host_col: str = "source_domain", html_col: str = "raw_html", text_col: str = "content", author_col: str = "author") -> DataFrame:
@@ -281,14 +360,31 @@ def boilerplate_lines(df: DataFrame, *, pages: int = PAGES, min_pages: int = MIN
                 arrays = [pa.array([o[c] for o in out], _KINDS.get(c, pa.list_(pa.int32()))) for c in _NAMES]
                 yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *arrays], names=["id", "host", *_NAMES])
 
-    def judge(group: pa.Table) -> pa.Table:
-        ids = group.column("id").combine_chunks()
-        columns = {c: group.column(c).to_numpy() for c in _NAMES}
-        columns = {c: [list(x) for x in v] if c in ("at", "lines") else v for c, v in columns.items()}
-        rows, lines = judged(np.arange(len(ids)), columns, min_pages)
-        return pa.table({"id": ids.take(pa.array(rows, pa.int64())), "line_no": pa.array(lines, pa.int32())})
+    def name(group: pa.Table) -> pa.Table:
+        runs, seen = seen_in(group, min_pages)
+        counts = _flat(group, "sigs")[1]
+        pages_ = group.select(["host", "cut", "id", *_KEPT]).append_column("kind", pa.array(np.full(len(group), PAGE), pa.int32()))
+        pages_ = pages_.append_column("runs", pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts]), pa.int32()), pa.array(runs)))
+        lists = {c: pa.array([x[k] for x in seen], pa.list_(pa.int64())) for k, c in ((1, "keys"), (2, "a"), (3, "b"))}
+        stats = pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(seen), group.schema.field("host").type), "cut": pa.array([group.column("cut")[0].as_py()] * len(seen), group.schema.field("cut").type), "kind": pa.array([x[0] for x in seen], pa.int32()), **lists})
+        return pa.concat_tables([pages_, stats], promote_options="default").select(["host", "cut", "id", "kind", "keys", "a", "b", "runs", *_KEPT])
+
+    def share(group: pa.Table, marks: pa.Table) -> pa.Table:
+        keys, n, bad, words = shares_of(group, marks)
+        return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(keys), pa.string()), "key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64()), "bad": pa.array(bad, pa.int64()), "words": pa.array(words, pa.int64())})
+
+    def judge(group: pa.Table, marks: pa.Table) -> pa.Table:
+        page, lines = judged(group, marks)
+        return pa.table({"id": group.column("id").combine_chunks().take(pa.array(page, pa.int64())), "line_no": pa.array(lines, pa.int32())})
 
     parsed = rows.mapInArrow(parse, f"id {kind}, host string, {_PAGE}")
     # a row per host: broadcast by the planner only while that is small
     keyed = parsed.join(sizes, "host").withColumn("cut", F.pmod(F.xxhash64("id"), F.col("cuts"))).drop("cuts")
-    return keyed.groupBy("host", "cut").applyInArrow(judge, f"id {kind}, line_no int")
+    # pages are parsed and their runs named once; what the blocks saw is a few numbers per block of text
+    seen = checkpointed(keyed.groupBy("host", "cut").applyInArrow(name, f"host string, cut bigint, id {kind}, {_BLOCK}"))
+    blocks = seen.filter(F.col("kind") == PAGE).drop("kind", "keys", "a", "b").groupBy("host", "cut")
+    marks = checkpointed(_over_hosts(seen, min_pages))
+    of_blocks = lambda m: m.select(F.col("host").alias("to_host"), F.col("cut").alias("to_cut"), "kind", "key").groupBy("to_host", "to_cut")
+    shares = blocks.cogroup(of_blocks(marks)).applyInArrow(share, "host string, key bigint, n bigint, bad bigint, words bigint")
+    marks = marks.unionByName(_doubtful(shares, seen, min_pages))
+    return blocks.cogroup(of_blocks(marks)).applyInArrow(judge, f"id {kind}, line_no int")

@@ -179,6 +179,21 @@ def test_page_lines(spark):
     assert boilerplate.boilerplate_lines(df.limit(0)).count() == 0
 
 
+def test_runs_are_counted_over_the_whole_host(spark):
+    """A prompt inside the story on 6 of 120 pages is found however the host is cut, and so is one on pages of one headline."""
+    rows = []
+    for i in range(120):
+        html, text = page(i)
+        if i % 20 == 3:
+            html, text = html.replace("<p>All rights", "<p>Subscribe to our weekly letter now</p><p>All rights"), text.replace("All rights", "Subscribe to our weekly letter now\nAll rights")
+        rows.append((i, "s.example", html, text, None))
+    same = [(1000 + i, "t.example", h.replace(f"Headline {i} of Acme", "News"), t, None) for i, _, h, t, _ in rows]
+    df = spark.createDataFrame(rows + same, "id int, source_domain string, raw_html string, content string, author string")
+    whole, cut = ({(r.id, r.line_no) for r in boilerplate.boilerplate_lines(df, pages=n).collect()} for n in (1500, 10))
+    assert whole == cut
+    assert {i for i, n in cut if n == 9} >= {i + at for i in range(3, 120, 20) for at in (0, 1000)}
+
+
 def test_suffix_ranks_against_slices():
     rng = np.random.default_rng(0)
     x = rng.integers(0, 3, 200)
