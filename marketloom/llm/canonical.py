@@ -2,7 +2,7 @@
 
 Method: each address is reduced to a canonical key. Partial counts of the keys (map-side combined, a hash each) tell exactly
 which keys are hot; rows of hot keys are salted into a two-level aggregation, all others take one shuffle. The representative of
-a group is its smallest identifier.
+a group is its smallest identifier. The pairs of hot keys come from a join that is salted on one side and replicated on the other.
 
 Defined results: a null or blank canonical address falls back to the plain one; where both are null or blank the row is a
 group of its own (no two missing addresses are the same); an empty table gives no groups; repeated rows of one identifier
@@ -82,14 +82,28 @@ def membership(df: DataFrame, **columns: str) -> DataFrame:
     return rows.join(reps, "key").select("id", "rep_id", "n")
 
 
-def pairs(df: DataFrame, *, hot: int = 100_000, **columns: str) -> DataFrame:
-    """(id_a, id_b), id_a < id_b, of every two rows with the same address.
+def matches(df: DataFrame, *, hot: int = 1_000, salts: int = 64, **columns: str) -> DataFrame:
+    """(id_a, id_b), id_a < id_b, of every two rows with the same address; a pair may come more than once where ids repeat.
 
-    Only keys that occur more than once take part (counted with map-side combination); the self-join by key is split by the
-    adaptive planner where a key is hot, so no task holds a whole group in memory.
+    Keys that occur once take no part (counted exactly, with map-side combination). Keys of more than `hot` rows have one side of
+    the join salted and the other replicated over the salts, in as many partitions as salts, which the adaptive planner doesn't merge
+    as it would by bytes; such a key has more than hot / 2 pairs for each of its rows, so the copies are few beside them.
+    The others take a one-level join.
     """
     rows = keyed(df, **columns)
-    several = rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1).select("h")
-    some = rows.join(several, "h", "left_semi").select("id", "key", "h")
-    a, b = some.select(F.col("id").alias("id_a"), "key", "h"), some.select(F.col("id").alias("id_b"), "key", "h")
-    return a.join(b, ["h", "key"]).filter(F.col("id_a") < F.col("id_b")).select("id_a", "id_b").distinct()
+    counts = rows.groupBy("h").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
+    some = rows.join(counts, "h").select("id", "key", "h", "n")
+
+    def joined(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
+        return a.withColumnRenamed("id", "id_a").join(b.withColumnRenamed("id", "id_b"), on).filter(F.col("id_a") < F.col("id_b")).select("id_a", "id_b")
+
+    cold, warm = (some.filter(c).drop("n") for c in (F.col("n") <= hot, F.col("n") > hot))
+    on = ["h", "key", "salt"]
+    salted = warm.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(salts)).cast("int")).repartition(salts, *on)
+    copied = warm.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).repartition(salts, *on)
+    return joined(cold, cold, ["h", "key"]).unionByName(joined(salted, copied, on))
+
+
+def pairs(df: DataFrame, *, hot: int = 1_000, salts: int = 64, **columns: str) -> DataFrame:
+    """`matches`, each pair once."""
+    return matches(df, hot=hot, salts=salts, **columns).distinct()

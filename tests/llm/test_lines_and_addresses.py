@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from marketloom.llm import canonical, cooccur, repeated_lines
 
@@ -64,6 +65,16 @@ def test_hot_keys_go_through_two_levels_with_the_same_result(spark):
     assert {(r.id, r.rep_id) for r in canonical.membership(df).collect()} >= {(7, 1)}
 
 
+def test_pairs_of_a_hot_key_are_spread_over_tasks(spark):
+    rows = [(i, "http://hot.example/" if i % 3 else f"http://cold.example/{i // 6}", None) for i in range(300)] + [(7, "http://hot.example/", None)]
+    df = spark.createDataFrame(rows, "id int, url_canonical string, url string")
+    want = {(a, b) for a in range(300) for b in range(a + 1, 300) if (a % 3 and b % 3) or (not a % 3 and not b % 3 and a // 6 == b // 6)}
+    found = canonical.pairs(df, hot=20).collect()
+    assert {(r.id_a, r.id_b) for r in found} == want == {(r.id_a, r.id_b) for r in canonical.pairs(df).collect()} and len(found) == len(want)
+    each = [r["count"] for r in canonical.matches(df, hot=20).groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(each) < 0.25 * sum(each)
+
+
 def test_addresses_of_an_empty_table(spark):
     df = spark.createDataFrame([], "id int, url_canonical string, url string")
     assert canonical.pairs(df).count() == 0 and canonical.collapse(df).count() == 0
