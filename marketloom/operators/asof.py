@@ -1,7 +1,7 @@
 """As-of joins.
 
 Both sides are unioned and sorted once by (key, time): one shuffle on the key and one window, whatever the sizes, where a range join would
-compare every pair of a key. A hot key is cut into time slices first (`slice_seconds`), each slice receiving the last row before it.
+compare every pair of a key. All rows of one key are one window partition, so a hot key is one task.
 """
 
 from __future__ import annotations
