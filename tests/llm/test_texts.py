@@ -249,6 +249,14 @@ def test_lexicon_and_tables(spark):
     assert personal.find_pieces(df.limit(0)).count() == 0
 
 
+def test_numbers_without_a_label_need_their_checksum():
+    text = "he gave 12345678Z and X1234567L, then RSSMRA85T10A562S, 2 55 08 14 168 025 38; not 12345678A, X1234567A, RSSMRA85T10A562T, 2 55 08 14 168 025 39 or part 219-09-9999"
+    found = {text[b:e] for b, e, k in personal.pieces(text, personal.Lexicon(frozenset(), frozenset())) if k == "id_number"}
+    assert found == {"12345678Z", "X1234567L", "RSSMRA85T10A562S", "2 55 08 14 168 025 38"}
+    near = "the SSN that she gave us is 219-09-9999"
+    assert (28, 39, "id_number") in personal.pieces(near, personal.Lexicon(frozenset(), frozenset()))
+
+
 def test_names_seen_once_in_a_large_table(spark):
     texts = [f"By {a} {b}\nbody" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "De Marn", "O'Dorr")] * 9
     rare = [(100_000, "By Zelda Quillon\nbody"), (100_001, "then Zelda Quillon left"), (100_002, "By Jo Wu\nbody"), (100_003, "By Acme Research Group\nbody")]
