@@ -4,6 +4,8 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -36,6 +38,19 @@ def test_repeated_lines_of_an_empty_table(spark):
     assert repeated_lines.find_repeated_lines(df).count() == 0
 
 
+def test_templates_of_merged_trees(spark):
+    """Leaves are merged over partitions; positions that differ become slots, and the exact test keeps lines of one template apart."""
+    docs = [(i, "s", f"read our letter now {'daily' if i % 2 else 'weekly'} on {i}\nmore on {i} to come today\nline of {chr(97 + i)} only") for i in range(8)]
+    df = spark.createDataFrame(docs, "id int, source_domain string, content string").repartition(2)
+    got = {r.template: (r.slots, r.docs) for r in repeated_lines.templates(df).collect()}
+    assert got["more on 0 to come today"] == (0, 8)
+    assert got["read our letter now <*> on 0"] == (1, 8)
+    assert "line of <*> only" in {r.template for r in repeated_lines.templates(df.coalesce(1), depth=2).collect()}
+    assert {r.line_no for r in repeated_lines.find_repeated_lines(df).collect()} == {1, 2}
+    assert {r.line_no for r in repeated_lines.find_repeated_lines(df, min_docs=5).collect()} == {2}
+    assert [repeated_lines.covering_leaves(repeated_lines.grown(df, depth=d), 4).count() for d in (2, 4)] == [3, 2]
+
+
 def test_equal_lines_in_one_document_count_once(spark):
     df = spark.createDataFrame([(i, "s", "a\na\na\na\na") for i in range(3)], "id int, source_domain string, content string")
     assert repeated_lines.find_repeated_lines(df).count() == 0
@@ -80,8 +95,8 @@ def test_addresses_of_an_empty_table(spark):
     assert canonical.pairs(df).count() == 0 and canonical.collapse(df).count() == 0
 
 
-@pytest.mark.parametrize("block", [3, 512])
-def test_pair_counts_against_a_plain_loop(spark, monkeypatch, block):
+@pytest.mark.parametrize("terms", [3, 2_000_000])
+def test_pair_counts_against_a_plain_loop(spark, monkeypatch, terms):
     rng = random.Random(1)
     names = [" $aa ", "AA", "bb", "Bb\u00a0", "c", None, "", "$", "d", "e"]
     baskets = [[rng.choice(names) for _ in range(rng.randrange(7))] for _ in range(300)] + [None, [], [None]]
@@ -100,20 +115,23 @@ def test_pair_counts_against_a_plain_loop(spark, monkeypatch, block):
         assert r.n_ab == want[r.item_a, r.item_b] >= 5 and r.n_ab * r.n_records >= r.n_a * r.n_b
 
 
-def test_gram_blocks_agree():
-    import numpy as np
-
+def test_gram_blocks_agree(monkeypatch):
+    """Item blocks of any width, down to one entry, give the plain counts; a wide basket among narrow ones too."""
     rng = random.Random(5)
-    baskets = [sorted({f"i{rng.randrange(40)}" for _ in range(rng.randrange(9))}) for _ in range(200)]
-    offsets, names = np.cumsum([0, *map(len, baskets)]), [x for b in baskets for x in b]
-    sums = []
-    for size in (7, 512):
-        cooccur.ITEM_BLOCK, old = size, cooccur.ITEM_BLOCK
+    baskets = [sorted({f"i{rng.randrange(40)}" for _ in range(rng.randrange(9))}) for _ in range(200)] + [[f"i{k}" for k in range(400)]]
+    offsets, names = np.cumsum([0, *map(len, baskets)]), pa.array([x for b in baskets for x in b])
+    want = defaultdict(int)
+    for b in baskets:
+        for x in b:
+            for y in b:
+                want[x, y] += x <= y
+    for terms in (1, 50, 2_000_000):
+        monkeypatch.setattr(cooccur, "TERMS", terms)
         g = cooccur.GramSums()
-        g.add(offsets, names)
-        sums.append(sorted(zip(*(c.to_pylist() for c in g.flush().columns)), key=str))
-        cooccur.ITEM_BLOCK = old
-    assert sums[0] == sums[1]
+        g.add(offsets[:101], names[: offsets[100]])
+        g.add(offsets[100:] - offsets[100], names[offsets[100] :])
+        got = {(x, y): n for x, y, n in zip(*(c.to_pylist() for c in g.flush().columns))}
+        assert got.pop((None, None)) == sum(map(bool, baskets)) and got == {k: n for k, n in want.items() if n}
 
 
 def test_pair_counts_of_an_empty_table(spark):
