@@ -57,7 +57,7 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = languages.label_languages(table(spark, sf_dir, "articles")).filter(F.col("lang").isNotNull() & ((F.col("line_no") > 0) | ~F.col("label_right")))
+    labelled = languages.label_languages(table(spark, sf_dir, "articles")).filter((F.col("lang") != languages.UNKNOWN) & ((F.col("line_no") > 0) | ~F.col("label_right")))
     return labelled.join(p1_found(spark, sf_dir), "id", "left_anti").select("id", "line_no", "lang")
 
 

@@ -117,6 +117,57 @@ def test_languages_of_mixed_texts(spark):
     assert languages.label_languages(df.limit(0)).count() == 0
 
 
+#: Sentences of a seventh language, and of three the model never sees.
+DUTCH = ("De raad van bestuur van het bedrijf heeft het bod bekeken en beslist voor het einde van het jaar", "De omzet van de groep is in het eerste kwartaal gestegen door een sterke vraag naar nieuwe machines", "Het bestuur verwacht voor het volgende jaar een lichte groei en noemt de hoge kosten als risico", "Volgens de directie blijft de marge stabiel terwijl de kosten van energie verder dalen")
+STRANGE = ("Styrelsen för bolaget har granskat budet och kan fatta ett beslut före årets slut om verksamheten", "Совет директоров компании рассмотрел предложение и может принять решение до конца года", "Yhtiön hallitus on tarkastellut tarjousta ja voi tehdä päätöksen ennen vuoden loppua")
+
+
+def _labelled(spoken, foreign=0.0):
+    """Texts of words drawn from a language's sentences, a share of them from all languages."""
+    rng = random.Random(4)
+    every = [w for sentences in spoken.values() for s in sentences for w in s.split()]
+    texts, labels = [], []
+    for code, sentences in spoken.items():
+        words = [w for s in sentences for w in s.split()]
+        for _ in range(60):
+            texts.append(" ".join(rng.choice(every if rng.random() < foreign else words) for _ in range(40)))
+            labels.append(code)
+    return texts, labels
+
+
+def test_a_seventh_language_is_learnt_and_unknown_ones_are_told_apart():
+    spoken = {code: [text] for code, text in SPOKEN.items()} | {"nl": DUTCH[:3]}
+    texts, labels = _labelled(spoken)
+    junk = texts[::7]
+    model = languages.fit(texts + junk, labels + ["xx"] * len(junk))
+    assert model.languages == ("de", "en", "es", "fr", "nl")  # a label on texts of all languages is none
+    assert languages.languages_of(DUTCH[3], model)[0] == "nl"
+    assert all(languages.languages_of(x, model)[0] == "und" for x in STRANGE)
+    mixed = languages.languages_of("\n".join([SPOKEN["en"], SPOKEN["en"], STRANGE[1]]), model)
+    assert mixed[0] == "en" and mixed[2][2][1] == "und"
+    without = languages.fit(*_labelled({c: v for c, v in spoken.items() if c != "nl"}))
+    assert all(languages.languages_of(x, without)[0] == "und" for x in STRANGE)
+
+
+def test_confidence_is_calibrated_on_held_out_fragments():
+    """On fragments of unseen texts the mean confidence is near the share of right answers, where plain naive Bayes is far too sure."""
+    spoken = {code: [text] for code, text in SPOKEN.items()} | {"nl": DUTCH[:3]}
+    texts, labels = _labelled(spoken, foreign=0.3)
+    model = languages.fit(texts[::2], labels[::2])
+    rng = random.Random(9)
+    pieces, truth = [], []
+    for text, label in zip(texts[1::2], labels[1::2]):
+        for _ in range(20):
+            words = text.split()
+            at = rng.randrange(len(words))
+            pieces.append(languages.folded(words[at][: rng.randint(1, 3)]))
+            truth.append(model.languages.index(label))
+    s = model.scores(pieces)
+    right = float((s.argmax(1) == np.array(truth)).mean())
+    sure = lambda t: float(languages.Model(model.logs, model.languages, t).posteriors(s).max(1).mean())
+    assert model.temperature > 1 and abs(sure(model.temperature) - right) < abs(sure(1.0) - right)
+
+
 def test_language_without_labels(spark):
     df = spark.createDataFrame([(1, None, "some text here")], "id int, lang string, content string")
     assert [(r.line_no, r.lang) for r in languages.label_languages(df).collect()] == [(0, None)]
