@@ -182,14 +182,27 @@ STORY = "\n".join(
 )
 
 
+@pytest.fixture(scope="module")
+def slots():
+    """Fitted on stories of which a few have slots of other languages than most of the cases."""
+    texts = [STORY] * 40 + [STORY + f"\nShares of {x} moved {y} after the update, while sales came to {y}." for x, y in (("{{name}}", "{{pct}}"), ("<%= name %>", "<%= move %>"), ("%ISSUER%", "%PCT%"), ("{issuer}", "{pct}"), ("undefined", "NaN%"))] * 3
+    texts += [STORY + x for x in ('\n"[They] saw it [in time]," he said [sic].', '\nThe null hypothesis of a shock', '\nit reads {"a": "B", "n": 4} here')] * 5
+    return residue.fit([], texts, [t for x in texts for t in residue.marked_tokens(x)])
+
+
 @pytest.mark.parametrize("slot", ["{{name}} rose", "<%= name %> rose", "${a.b} rose", "#{x} rose", "%COMPANY% rose", "$CHG$ up", "__ISSUER__ rose", "@@REV@@", "<<PEER>> rose", "[[fin:rev]]", "[INSERT AMOUNT]", "<INSERT COMPANY>", "TKTK million", "undefined% more", "up NaN%", "$null million", "[object Object] said", "{pct} more", "up %s%% since", "TK percent"])
-def test_slots(slot):
-    assert residue.has_slot(STORY + "\n" + slot)
+def test_slots(slots, slot):
+    assert slots.slot_score(STORY + "\n" + slot) > 0
 
 
 @pytest.mark.parametrize("text", ['"[We] saw orders [for chips]," they said [sic].', 'a record {"issuer": "X", "chg": 3} is valid', "The null hypothesis was rejected", "rose 5% since May", "$5 million", "an undefined number", "No route matches [GET]", "e-mail a_b_c@x.example", "None of it"])
-def test_quotations_are_no_slots(text):
-    assert not residue.has_slot(text)
+def test_quotations_are_no_slots(slots, text):
+    assert slots.slot_score(text) < 0
+
+
+def test_slots_of_a_shape_that_no_example_has(slots):
+    """The fitted ratios carry over to shapes that neither the examples nor the texts hold."""
+    assert all(slots.slot_score(f"Shares of {x} moved") > 0 for x in ("{{ a.b.c }}", "<%- name_of %>", "@@A_B@@", "{{first_name}}"))
 
 
 def test_unusable_records(spark):
