@@ -38,6 +38,11 @@ def p2_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_lines.without_lines(articles, repeated_lines.find_repeated_lines(articles))
 
 
+def p2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The templates of the merged trees that cover at least four documents."""
+    return repeated_lines.templates(table(spark, sf_dir, "articles"))
+
+
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     for name in ("articles", "article_insights"):
@@ -56,6 +61,17 @@ def p3_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found
 
 
+def p3_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the calibrated index of either table reaches on queries that took no part in its calibration, against brute force over all rows."""
+    rows = []
+    for name in ("articles", "article_insights"):
+        for search, options in (("close", {"min_similarity": 0.85, "target_recall": 0.99}), ("neighbours", {"target_recall": 0.92, "queries": F.col("id") % 50 == 0})):
+            index = similar.index_of(table(spark, sf_dir, name), k=5, **options)
+            if index:
+                rows.append((name, search, index.rows, index.tree.leaves, index.visits, index.queries, index.recall))
+    return spark.createDataFrame(rows, "table_name string, search string, n_rows bigint, leaves int, visits int, queries int, recall double")
+
+
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     labelled = languages.label_languages(table(spark, sf_dir, "articles")).filter((F.col("lang") != languages.UNKNOWN) & ((F.col("line_no") > 0) | ~F.col("label_right")))
     return labelled.join(p1_found(spark, sf_dir), "id", "left_anti").select("id", "line_no", "lang")
@@ -123,7 +139,7 @@ def p10_redacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p4_found": p4_found, "p4_languages": p4_languages, "p5_found": p5_found, "p5_body": p5_body, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
+    "p1_found": p1_found, "p1_usable": p1_usable, "p2_found": p2_found, "p2_clean": p2_clean, "p2_templates": p2_templates, "p3_found": p3_found, "p3_neighbours": p3_neighbours, "p3_recall": p3_recall, "p4_found": p4_found, "p4_languages": p4_languages, "p5_found": p5_found, "p5_body": p5_body, "p6_found": p6_found, "p6_pairs": p6_pairs, "p7_found": p7_found, "p7_groups": p7_groups,
     "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_redacted": p10_redacted,
 }
 

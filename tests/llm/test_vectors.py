@@ -38,7 +38,7 @@ def test_close_pairs_and_recall(spark, monkeypatch):
 
 def test_crowded_leaves_are_cut_without_loss(spark, monkeypatch):
     monkeypatch.setattr(similar, "LEAF_ROWS", 300)
-    monkeypatch.setattr(similar, "BLOCK_ROWS", 25)
+    monkeypatch.setattr(similar, "_bins", lambda tree, counts, width, asks: (np.arange(tree.leaves), np.maximum(1, -(-counts // 25)), np.full(tree.leaves, 3)))
     x = planted(400, 40, 2)
     df = spark.createDataFrame([(i, v.tolist(), "", 0) for i, v in enumerate(x)], SCHEMA)
     got = {(r.id_a, r.id_b) for r in similar.close_pairs(df, min_similarity=0.85, target_recall=1.0).collect()}
@@ -72,6 +72,7 @@ def test_best_bin_first_visits_every_leaf_once():
 
 def test_a_third_of_equal_vectors_and_a_dense_cluster(spark, monkeypatch):
     monkeypatch.setattr(similar, "LEAF_ROWS", 30)
+    monkeypatch.setattr(similar, "HOT_COPIES", 50)
     rng = np.random.default_rng(3)
     x = rng.normal(size=(600, 24)).astype(np.float32)
     x[:200] = x[0]
@@ -86,3 +87,54 @@ def test_a_third_of_equal_vectors_and_a_dense_cluster(spark, monkeypatch):
         want.setdefault(a, set()).add(b)
     hits = sum(len(near.get(a, set()) & want[a]) for a in range(200, 600) if a in want)
     assert hits >= 0.95 * sum(len(want[a]) for a in range(200, 600) if a in want)
+
+
+def test_a_large_tree_has_the_leaves_it_was_asked_for():
+    """The sample grows with the leaves, so many leaves are not fewer than asked by much."""
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(similar.PER_LEAF * 4096, 16)).astype(np.float32)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert 0.8 * 4096 < similar.fit_tree(x, 4096).leaves < 1.2 * 4096
+
+
+def test_subtrees_are_fitted_on_executors(spark, monkeypatch):
+    monkeypatch.setattr(similar, "SAMPLE", 2000)
+    monkeypatch.setattr(similar, "LEAF_ROWS", 20)
+    x = planted(6000, 200, 5)
+    df = spark.createDataFrame([(i, v.tolist(), "", 0) for i, v in enumerate(x)], SCHEMA).repartition(4)
+    p = similar.prepared(df, "id", "embedding")
+    tree = similar.fit_large_tree(p.reps, p.total, 300)
+    assert 0.7 * 300 < tree.leaves < 1.4 * 300
+    order = tree.visit(x[:20] / np.linalg.norm(x[:20], axis=1, keepdims=True), tree.leaves)
+    assert all(sorted(row) == list(range(tree.leaves)) for row in order.tolist())
+    got = {(r.id_a, r.id_b) for r in similar.close_pairs(df, min_similarity=0.85).collect()}
+    want = {(min(p), max(p)) for p in truth(x, 5, 0.85)}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
+def test_the_queue_takes_the_best_open_child_first():
+    x = planted(3000, 10, 6)
+    u = x / np.linalg.norm(x, axis=1, keepdims=True)
+    tree = similar.fit_tree(u, 150)
+    import heapq
+
+    for v, got in zip(u[:15], tree.visit(u[:15], 20)):
+        heap = [(-float(v @ tree.centres[i]), i) for i in range(tree.roots)]
+        heapq.heapify(heap)
+        want = []
+        while heap and len(want) < 20:
+            _, i = heapq.heappop(heap)
+            if tree.count[i]:
+                for j in range(tree.first[i], tree.first[i] + tree.count[i]):
+                    heapq.heappush(heap, (-float(v @ tree.centres[j]), j))
+            else:
+                want.append(int(tree.leaf[i]))
+        assert got.tolist() == want
+
+
+def test_measured_recall(spark, monkeypatch):
+    monkeypatch.setattr(similar, "LEAF_ROWS", 40)
+    x = planted(1500, 60, 8)
+    df = spark.createDataFrame([(i, v.tolist(), "", 0) for i, v in enumerate(x)], SCHEMA)
+    index = similar.index_of(df, k=5, target_recall=0.9)
+    assert index.recall > 0.8 and 1 <= index.visits <= index.tree.leaves and index.rows == 1500
