@@ -1,11 +1,12 @@
 """Page boilerplate mixed with main content.
 
-Method: host suffix array. Every page is cut into blocks of words between block tags; the token streams of a host's pages are
-concatenated, and prefix doubling ranks all suffixes by their first 2, 4, ... 64 tokens. The ranks at both ends of a run name the run, so
-runs that stand in at least `MIN_PAGES` distinct pages (pages of one headline are one page) are found without comparing pages. What such runs cover is boilerplate;
-unique runs are kept, unless their place on the page tells otherwise: outside the element that holds the headline, in a link as a
-whole, or in a kind of element whose blocks are mostly covered on this host. Kept although repeated: bylines (a pattern
-with many fillers before the first paragraph, or the author's name) and notes on a company of the headline.
+Method: host suffix array. Every page is cut into blocks of words between block tags (runs); the token streams of a host's pages are
+concatenated, each run behind a mark, and prefix doubling ranks all suffixes by their first 2, 4, ... tokens, until they are told apart over the longest
+run. The suffixes at the runs are put in order; the longest common prefix of neighbours tells how far a substring from there on is repeated. A run is
+covered when the substring from its mark to the next one is repeated as a whole in at least `MIN_PAGES` distinct pages (pages of one headline are one page).
+What such substrings cover is boilerplate, and unique runs are kept. Place only settles unique runs that can be no part of the story: outside the element that holds the headline, in a link as a
+whole, or in a kind of element whose blocks are mostly covered on this host (lists of other stories have a text of their own). Kept although repeated: bylines (a pattern
+with many fillers before the first paragraph, or the author's name) and notes on a company of the headline. Each line found comes with its reason.
 
 A host is cut into blocks of `PAGES` pages by a hash of the id, so that a host with a third of all pages is many tasks. Blocks only
 name the runs and list what they saw; every count that decides (pages of a run, fillers of a byline, shares of a kind of element) is
@@ -35,7 +36,6 @@ from marketloom.session import checkpointed
 PAGES = 1500
 MIN_PAGES = 4
 MIN_FILLERS = 3
-WINDOW = 64
 MOSTLY = 0.6
 
 TAG = re.compile(r"<!--.*?-->|<(script|style|title)\b[^>]*>(.*?)</\1\s*>|<(/?)([a-zA-Z][\w-]*)([^>]*)>", re.S)
@@ -48,6 +48,7 @@ INLINE = frozenset("a b strong i em small span font u sup sub mark abbr time".sp
 VOID = frozenset("meta br img link input hr wbr source col area base embed".split())
 CLOSES_P = frozenset("p div ul ol li table tr td h1 h2 h3 h4 h5 h6 section article main footer header aside nav form blockquote address center hr".split())
 
+MARK = 0x3FFFFFFF  # begins a run
 LINK, INSIDE, AUTHOR, HEADLINE, EARLY, ELSEWHERE = 1, 2, 4, 8, 16, 32
 
 
@@ -168,7 +169,7 @@ def page_row(page: str, content: str, author: str | None, hashed: Hash) -> dict:
             for n in names:
                 rest = rest.replace(n, "\x00")
             pattern, filler = hashed[" ".join(rest.lower().split())], hashed["|".join(names)]
-        starts.append(len(tokens)), tokens.append(0x3FFFFFFF), tokens.extend(key)
+        starts.append(len(tokens)), tokens.append(MARK), tokens.extend(key)
         sigs.append(hashed[">".join(path[-2:]) + "|" + wrap]), flags.append(flag), patterns.append(pattern), fillers.append(filler)
 
     known: dict[tuple[int, ...], int] = {}
@@ -196,45 +197,59 @@ def page_row(page: str, content: str, author: str | None, hashed: Hash) -> dict:
     return {"headline": _digest(headline) if headline.strip() else body, "body": body, "tokens": tokens, "starts": starts, "sigs": sigs, "flags": flags, "patterns": patterns, "fillers": fillers, "lines": numbers, "at": at, "placed": container is not None}
 
 
-def suffix_ranks(tokens: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """ranks[k][i]: class of the 2**k tokens from i on, by prefix doubling (positions past the end are a class of their own)."""
-    ranks = [np.unique(tokens, return_inverse=True)[1].astype(np.int64)]
+def suffix_ranks(tokens: np.ndarray, longest: int) -> list[np.ndarray]:
+    """ranks[k][i]: class of the 2**k tokens from i on, by prefix doubling, up to the first 2**k of at least `longest` (positions past the end are a class of their own)."""
+    ranks = [np.unique(tokens, return_inverse=True)[1].astype(np.int32)]
     step = 1
-    while step < window:
-        prior = ranks[-1]
+    while step < longest:
+        prior = ranks[-1].astype(np.int64)
         after = np.full(len(prior), -1, np.int64)
         if step < len(prior):
             after[:-step] = prior[step:]
         key = prior << 32 | after + 1
         order = np.argsort(key)
         changed = np.concatenate([[False], np.diff(key[order]) != 0])
-        rank = np.empty(len(key), np.int64)
+        rank = np.empty(len(key), np.int32)
         rank[order] = np.cumsum(changed)
         ranks.append(rank)
         step *= 2
     return ranks
 
 
+def common_prefixes(ranks: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Length of the longest common prefix of the suffixes at a and at b, counted as far as the ranks reach."""
+    n, length = len(ranks[0]), np.zeros(len(a), np.int64)
+    for k in range(len(ranks) - 1, -1, -1):
+        for _ in range(2 if k == len(ranks) - 1 else 1):
+            i, j = a + length, b + length
+            inside = np.flatnonzero((i + (1 << k) <= n) & (j + (1 << k) <= n))
+            same = inside[ranks[k][i[inside]] == ranks[k][j[inside]]]
+            length[same] += 1 << k
+    return length
+
+
 def run_classes(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A class for each run [start, end): equal exactly for runs of equal length whose first and last `WINDOW` tokens agree."""
-    ranks = suffix_ranks(tokens)
-    length = ends - starts
-    level = np.minimum(np.log2(np.maximum(length, 1)).astype(np.int64), len(ranks) - 1)
-    first, last = np.empty(len(starts), np.int64), np.empty(len(starts), np.int64)
-    for k in range(len(ranks)):
-        own = level == k
-        first[own], last[own] = ranks[k][starts[own]], ranks[k][ends[own] - (1 << k)]
-    _, a = np.unique(first << 20 ^ length, return_inverse=True)
-    return np.unique(a.astype(np.int64) << 32 | last, return_inverse=True)[1]
+    """A class for each run [start, end) of a stream in which every run begins with a mark and a mark follows the last: equal exactly for equal runs.
+
+    Runs are neighbours in the suffix array if they are equal, and then their common prefix reaches to the mark behind them.
+    """
+    size = ends - starts
+    ranks = suffix_ranks(tokens, int(size.max()) + 1)
+    order = starts[np.argsort(ranks[-1][starts], kind="stable")]
+    length = np.zeros(len(tokens) + 1, np.int64)
+    length[starts] = size
+    new = np.ones(len(order), bool)
+    new[1:] = common_prefixes(ranks, order[:-1], order[1:]) < np.maximum(length[order[:-1]], length[order[1:]]) + 1
+    classes = np.empty(len(tokens) + 1, np.int64)
+    classes[order] = np.cumsum(new)
+    return classes[starts]
 
 
 def run_names(tokens: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 63-bit name for each run, equal in every block exactly where `run_classes` is equal within one."""
-    _, at, classes = np.unique(run_classes(tokens, starts, ends), return_index=True, return_inverse=True)
-    names = np.empty(len(at), np.int64)
-    for k, (b, e) in enumerate(zip(starts[at].tolist(), ends[at].tolist())):
-        n = min(1 << (e - b).bit_length() - 1, WINDOW)
-        names[k] = int.from_bytes(hashlib.blake2b(tokens[b : b + n].tobytes() + tokens[e - n : e].tobytes() + (e - b).to_bytes(8), digest_size=8).digest(), "big") >> 1
+    """A 63-bit name for each run, of its whole text: equal in every block exactly where `run_classes` is equal within one."""
+    _, at, classes = np.unique(run_classes(np.append(tokens, MARK), starts, ends), return_index=True, return_inverse=True)
+    data = tokens.astype(np.int64)
+    names = np.array([int.from_bytes(hashlib.blake2b(data[b:e].tobytes(), digest_size=8).digest(), "big") >> 1 for b, e in zip(starts[at].tolist(), ends[at].tolist())], np.int64)
     return names[classes]
 
 
@@ -285,33 +300,38 @@ def seen_in(group: pa.Table, min_pages: int) -> tuple[np.ndarray, list[tuple[int
     return runs, [(RUN, runs[few], headline[page[few]], body[page[few]]), (PATTERN, patterns[named], fillers[named], fillers[named]), (HEAD, heads, pages, pages), (SIG, kinds, kinds, kinds)]
 
 
-def _bad(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Of all blocks of text whether they are boilerplate by repetition or as links, and whether they are kept although repeated."""
+def _bad(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of all blocks of text whether they are covered by repetition, whether they are links, and whether they are kept although repeated."""
     kind, key = marks.column("kind").to_numpy(), marks.column("key").to_numpy()
     runs, flags, patterns = (_flat(group, c)[0] for c in ("runs", "flags", "patterns"))
     covered, byline = np.isin(runs, key[kind == RUN]), np.isin(patterns, key[kind == PATTERN]) & ((flags & EARLY) > 0)
     link, inside = (flags & LINK) > 0, (flags & INSIDE) > 0
     kept = inside & ~link & (byline | ((flags & AUTHOR) > 0) | ((flags & HEADLINE) > 0))
-    return link | covered & ~kept, kept
+    return covered & ~kept, link, kept
 
 
 def shares_of(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of each kind of element of one block of a host: number of blocks of text, how many are boilerplate, words of the others."""
-    bad, kept = _bad(group, marks)
+    covered, link, kept = _bad(group, marks)
+    bad = covered | link
     kinds, sig = np.unique(_flat(group, "sigs")[0], return_inverse=True)
     return kinds, np.bincount(sig, minlength=len(kinds)), np.bincount(sig, bad & ~kept, len(kinds)).astype(np.int64), np.bincount(sig, np.where(bad, 0, _runs_of(group)[1]), len(kinds)).astype(np.int64)
 
 
-def judged(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray]:
-    """Row numbers and line numbers of boilerplate lines among the pages of one block of a host."""
-    bad, kept = _bad(group, marks)
+REASONS = ("repeated", "link", "outside", "element")
+
+
+def judged(group: pa.Table, marks: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row numbers, line numbers and reasons of boilerplate lines among the pages of one block of a host: repetition first, place where it tells nothing."""
+    covered, link, kept = _bad(group, marks)
     (sigs, counts), (flags, _), (at, _), (lines, sizes) = (_flat(group, c) for c in ("sigs", "flags", "at", "lines"))
     doubtful = np.isin(sigs, marks.column("key").to_numpy()[marks.column("kind").to_numpy() == SIG]) & ((flags & ELSEWHERE) == 0)  # a line that isn't on its page has no element
     placed = np.repeat(group.column("placed").to_numpy(), counts).astype(bool)
-    boiler = bad | doubtful & ~kept | placed & ((flags & INSIDE) == 0)
+    reason = np.select([covered, link, placed & ((flags & INSIDE) == 0), doubtful & ~kept], range(4), -1)
     page = np.repeat(np.arange(len(sizes)), sizes)
-    found = boiler[at + (np.cumsum(counts) - counts)[page]]
-    return page[found], lines[found]
+    of_line = reason[at + (np.cumsum(counts) - counts)[page]]
+    found = of_line >= 0
+    return page[found], lines[found], of_line[found]
 
 
 _PAGE = "headline bigint, body bigint, tokens array<int>, starts array<int>, sigs array<int>, flags array<int>, patterns array<int>, fillers array<int>, lines array<int>, `at` array<int>, placed boolean"
@@ -345,7 +365,7 @@ def _doubtful(shares: DataFrame, seen: DataFrame, min_pages: int) -> DataFrame:
 
 
 def boilerplate_lines(df: DataFrame, *, pages: int = PAGES, min_pages: int = MIN_PAGES, id_col: str = "id", host_col: str = "source_domain", html_col: str = "raw_html", text_col: str = "content", author_col: str = "author") -> DataFrame:
-    """(id, line_no) of the content lines that are no part of the page's main body."""
+    """(id, line_no, reason) of the content lines that are no part of the page's main body: repeated, link, outside or element."""
     usable = df.filter(F.col(html_col).isNotNull() & F.col(text_col).isNotNull())
     sizes = usable.groupBy(F.coalesce(F.col(host_col), F.lit("")).alias("host")).agg(F.ceil(F.count("*") / F.lit(pages)).cast("int").alias("cuts"))
     rows = usable.select(F.col(id_col).alias("id"), F.coalesce(F.col(host_col), F.lit("")).alias("host"), F.col(html_col).alias("page"), F.col(text_col).alias("text"), F.col(author_col).alias("author"))
@@ -374,8 +394,8 @@ def boilerplate_lines(df: DataFrame, *, pages: int = PAGES, min_pages: int = MIN
         return pa.table({"host": pa.array([group.column("host")[0].as_py()] * len(keys), pa.string()), "key": pa.array(keys, pa.int64()), "n": pa.array(n, pa.int64()), "bad": pa.array(bad, pa.int64()), "words": pa.array(words, pa.int64())})
 
     def judge(group: pa.Table, marks: pa.Table) -> pa.Table:
-        page, lines = judged(group, marks)
-        return pa.table({"id": group.column("id").combine_chunks().take(pa.array(page, pa.int64())), "line_no": pa.array(lines, pa.int32())})
+        page, lines, reason = judged(group, marks)
+        return pa.table({"id": group.column("id").combine_chunks().take(pa.array(page, pa.int64())), "line_no": pa.array(lines, pa.int32()), "reason": pa.array(np.array(REASONS, object)[reason], pa.string())})
 
     parsed = rows.mapInArrow(parse, f"id {kind}, host string, {_PAGE}")
     # a row per host: broadcast by the planner only while that is small
@@ -387,4 +407,4 @@ def boilerplate_lines(df: DataFrame, *, pages: int = PAGES, min_pages: int = MIN
     of_blocks = lambda m: m.select(F.col("host").alias("to_host"), F.col("cut").alias("to_cut"), "kind", "key").groupBy("to_host", "to_cut")
     shares = blocks.cogroup(of_blocks(marks)).applyInArrow(share, "host string, key bigint, n bigint, bad bigint, words bigint")
     marks = marks.unionByName(_doubtful(shares, seen, min_pages))
-    return blocks.cogroup(of_blocks(marks)).applyInArrow(judge, f"id {kind}, line_no int")
+    return blocks.cogroup(of_blocks(marks)).applyInArrow(judge, f"id {kind}, line_no int, reason string")

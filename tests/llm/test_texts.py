@@ -269,6 +269,47 @@ def test_suffix_ranks_against_slices():
                 assert (rank[i] == rank[j]) == (x[i : i + w] == x[j : j + w]).all()
 
 
+def _stream(runs):
+    tokens, starts = [], []
+    for r in runs:
+        starts.append(len(tokens)), tokens.extend([boilerplate.MARK, *r])
+    starts = np.array(starts)
+    return np.array(tokens), starts, np.append(starts[1:], len(tokens))
+
+
+def test_runs_are_equal_only_as_a_whole():
+    """Long runs with equal ends and another middle are other runs; so are a run and its beginning."""
+    rng = random.Random(0)
+    ends = [rng.randrange(50) for _ in range(64)]
+    a, b = ([*ends, *(rng.randrange(50) for _ in range(40)), *ends] for _ in range(2))
+    runs = [a, [1, 2], b, a, [1], [1, 2, 3], [1, 2], [], b, []]
+    for f in (boilerplate.run_names, lambda t, s, e: boilerplate.run_classes(np.append(t, boilerplate.MARK), s, e)):
+        got = f(*_stream(runs))
+        assert all((got[i] == got[j]) == (runs[i] == runs[j]) for i in range(len(runs)) for j in range(len(runs)))
+
+
+def test_run_classes_of_random_streams():
+    rng = random.Random(1)
+    for _ in range(30):
+        runs = [[rng.randrange(2) for _ in range(rng.randrange(6))] for _ in range(40)]
+        got = boilerplate.run_names(*_stream(runs))
+        assert len(set(got.tolist())) == len({tuple(r) for r in runs}) and all((got[i] == got[j]) == (runs[i] == runs[j]) for i in range(40) for j in range(40))
+
+
+def test_common_prefixes_against_a_plain_loop():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 2, 300)
+    ranks = boilerplate.suffix_ranks(x, 20)
+    a, b = rng.integers(0, 300, 200), rng.integers(0, 300, 200)
+    def plain(i, j):
+        n = 0
+        while i != j and max(i, j) + n < 300 and x[i + n] == x[j + n]:
+            n += 1
+        return n
+    for i, j, got in zip(a, b, boilerplate.common_prefixes(ranks, a, b)):
+        assert i == j or min(plain(i, j), 20) == min(got, 20)
+
+
 # --- personal ---------------------------------------------------------------------------------------------------------
 
 CASES = [
