@@ -362,6 +362,31 @@ def test_numbers_without_a_label_need_their_checksum():
     assert (28, 39, "id_number") in personal.pieces(near, personal.Lexicon(frozenset(), frozenset()))
 
 
+def test_a_flipped_check_digit_changes_the_result():
+    """A weak checksum and a label nearby make a piece only together; with a label right before it a number is a piece whatever its checksum."""
+    none = personal.Lexicon(frozenset(), frozenset())
+    ids = lambda text: {text[b:e] for b, e, k in personal.pieces(text, none) if k == "id_number"}
+    assert ids("the steuer-id that he wrote down for us was 86 095 742 719 and") == {"86 095 742 719"}
+    assert ids("the steuer-id that he wrote down for us was 86 095 742 718 and") == set()
+    assert ids("a shipment of 86 095 742 719 and more") == set()
+    assert ids("his Steuer-ID: 86 095 742 718 and") == {"86 095 742 718"}
+    sound, unsound = (next(s for _, _, s in personal.id_numbers(f"DNI 12345678{x}", f"dni 12345678{x.lower()}")) for x in "ZA")
+    assert sound > unsound >= personal.THRESHOLD
+
+
+def test_contexts_are_learnt_from_the_names_of_bylines(spark):
+    """A context around known names, in no list, gives the lexicon the other names that stand in it; one that mostly holds companies doesn't."""
+    people = [f"{a} {b}" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "Marn", "Dorr")]
+    texts = [f"By {x}\nbody" for x in people] + [f"todo lo cuenta {x} desde la plaza" for x in people * 2] + ["todo lo cuenta Zelda Quillon desde la plaza", "luego Zelda Quillon se fue"]
+    texts += [f"shares of {x} rose" for x in people] + [f"shares of {x} Makers rose" for x in ("Acme", "Bolt", "Crux", "Dyne", "Ekto", "Fenn", "Gild", "Hale")] + ["the Acme Makers plant"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    lexicon = personal.fitted_lexicon(df)
+    assert "lo cuenta _ desde" in lexicon.contexts and not any("shares" in c for c in lexicon.contexts)
+    got = {(r.doc_id, r.value) for r in personal.find_pieces(df).collect() if r.kind == "name"}
+    assert {(27, "Zelda Quillon"), (28, "Zelda Quillon")} <= got and not any("Makers" in v for _, v in got)
+    assert personal.fitted_lexicon(df.filter("text NOT LIKE 'By %'")).family == frozenset()
+
+
 def test_names_seen_once_in_a_large_table(spark):
     texts = [f"By {a} {b}\nbody" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "De Marn", "O'Dorr")] * 9
     rare = [(100_000, "By Zelda Quillon\nbody"), (100_001, "then Zelda Quillon left"), (100_002, "By Jo Wu\nbody"), (100_003, "By Acme Research Group\nbody")]
