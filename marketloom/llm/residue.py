@@ -35,6 +35,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.session import checkpointed
+
 SAMPLE_POSITIVE = 3000
 SAMPLE_UNLABELLED = 5000
 SAMPLE_MARKED = 4000
@@ -276,20 +278,25 @@ def fitted(df: DataFrame, *, id_col: str = "id", text_col: str = "content") -> R
     paragraphs = F.size(F.filter(F.split(F.col(text_col), "\n"), lambda x: (F.size(F.split(x, " ")) >= LONG_WORDS) & x.rlike(r"[.!?\"”»)]\s*$")))
     failed = F.coalesce((F.col("status") != "ok") | F.col("error").isNotNull() | (F.col("http_status") >= 400), F.lit(False))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(failed & (paragraphs < MIN_STORY), F.lit(False)).alias("trusted"), F.col(text_col).rlike(MARK_START).alias("marked")).filter(~_blank("text"))
-    totals = {(r.trusted, r.marked): r["count"] for r in rows.groupBy("trusted", "marked").count().collect()}  # four rows
+    flags = checkpointed(rows.select("id", "trusted", "marked"))  # the texts are searched once
+    totals = {(r.trusted, r.marked): r["count"] for r in flags.groupBy("trusted", "marked").count().collect()}  # four rows
 
     def about(most: int, total: int) -> Column:
         share = min(1.0, most / max(1, total))
         return F.pmod(F.xxhash64("id", F.lit(11)), F.lit(1 << 24)) < F.lit(math.ceil(share * (1 << 24)))
 
+    wanted = {t: about(most, sum(n for (x, _), n in totals.items() if x == t)) for t, most in ((True, SAMPLE_POSITIVE), (False, SAMPLE_UNLABELLED))}
+    for_lines, for_tokens = F.when(F.col("trusted"), wanted[True]).otherwise(wanted[False]), F.col("marked") & about(SAMPLE_MARKED, sum(n for (_, m), n in totals.items() if m))
+    chosen = flags.select("id", "trusted", for_lines.alias("for_lines"), for_tokens.alias("for_tokens")).filter("for_lines OR for_tokens").distinct()  # about as many rows as the bounds of the samples
+    texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "id")
+
     def tokens_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [t for text in batch.column(0).to_pylist() for t in islice(marked_tokens(text), SAMPLE_TOKENS)]
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.list_(pa.string())), pa.array([f[1] for f in found], pa.bool_()), pa.array([f[2] for f in found], pa.bool_())], names=["features", "trusted", "begins"])
 
-    wanted = {t: about(most, sum(n for (x, _), n in totals.items() if x == t)) for t, most in ((True, SAMPLE_POSITIVE), (False, SAMPLE_UNLABELLED))}
-    sample = rows.filter(F.when(F.col("trusted"), wanted[True]).otherwise(wanted[False])).select("trusted", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
-    marked = rows.filter(F.col("marked") & about(SAMPLE_MARKED, sum(n for (_, m), n in totals.items() if m))).select("text")
+    sample = texts.filter("for_lines").select("trusted", F.substring("text", 1, SAMPLE_CHARS).alias("text")).collect()
+    marked = texts.filter("for_tokens").select("text")
     tokens = [(list(r.features), r.trusted, r.begins) for r in marked.mapInArrow(tokens_of, "features array<string>, trusted boolean, begins boolean").collect()]
     return fit([r.text for r in sample if r.trusted], [r.text for r in sample if not r.trusted], tokens)
 
