@@ -370,7 +370,7 @@ def test_a_flipped_check_digit_changes_the_result():
     assert ids("the steuer-id that he wrote down for us was 86 095 742 718 and") == set()
     assert ids("a shipment of 86 095 742 719 and more") == set()
     assert ids("his Steuer-ID: 86 095 742 718 and") == {"86 095 742 718"}
-    sound, unsound = (next(s for _, _, s in personal.id_numbers(f"DNI 12345678{x}", f"dni 12345678{x.lower()}")) for x in "ZA")
+    sound, unsound = (next(s for _, _, s in personal.id_numbers(f"DNI 12345678{x}", f"dni 12345678{x.lower()}", ["dni"])) for x in "ZA")
     assert sound > unsound >= personal.THRESHOLD
 
 
