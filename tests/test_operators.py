@@ -110,11 +110,12 @@ def test_next_day_over_a_weekend(spark):
 
 
 def test_daily_ranges_across_utc_midnight(spark):
-    rows = [("2025-01-06T14:30:00", 100.0, 101.0, 99.0, 100.5), ("2025-01-06T20:00:00", 100.5, 106.0, 100.0, 105.0), ("2025-01-07T04:30:00", 105.0, 105.5, 104.0, 104.5), ("2025-01-07T15:00:00", 104.0, 112.0, 103.5, 110.0), ("2025-01-07T16:00:00", 110.0, 111.0, 103.0, 108.0)]
+    rows = [("2025-03-03T15:10:00", 41.0, 41.5, 40.2, 41.1), ("2025-03-03T19:40:00", 41.1, 43.8, 41.0, 43.0), ("2025-03-04T03:59:00", 43.0, 43.1, 42.4, 42.5), ("2025-03-04T14:45:00", 42.0, 42.9, 39.5, 40.0), ("2025-03-04T18:05:00", 40.0, 40.4, 38.7, 39.9)]
     b = spark.createDataFrame([("n", at(r[0]), *r[1:]) for r in rows], "k string, t timestamp, o double, h double, l double, c double")
     got = {str(r.day): r for r in bars.with_moves(bars.daily_ranges(b, by="k", time="t", day=market_date(F.col("t")), low="l", high="h", open_="o", close="c")).collect()}
-    assert (got["2025-01-06"].low, got["2025-01-06"].high, got["2025-01-06"].open, got["2025-01-06"].close, got["2025-01-06"].direction) == (99.0, 106.0, 100.0, 104.5, "up")
-    assert (got["2025-01-07"].low, got["2025-01-07"].high, got["2025-01-07"].direction) == (103.0, 112.0, "down")
+    first, second = got["2025-03-03"], got["2025-03-04"]
+    assert (first.low, first.high, first.open, first.close, first.direction) == (40.2, 43.8, 41.0, 42.5, "up")
+    assert (second.low, second.high, second.open, second.close, second.direction) == (38.7, 42.9, 42.0, 39.9, "down")
 
 
 def test_first_bar_per_time(spark):

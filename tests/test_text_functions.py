@@ -11,49 +11,59 @@ from marketloom.providers import HashEmbedder, KeywordClassifier, classified, em
 from marketloom.sources import files, polled
 from marketloom.streaming import feed
 
-UNIVERSE = (("NVDA", "NVIDIA Corporation", "GPUs"), ("AMD", "Advanced Micro Devices", "GPUs"), ("AI", "C3.ai", "AI Software"), ("MRVL", "Marvell Technology", None))
+UNIVERSE = (("QLT", "Quillet Corporation", "Lenses"), ("BRS", "Brass River Mining", "Ores"), ("AI", "N7.bio", "Assays"), ("TMBR", "Tamber Technology", None), ("VV", "Vale & Vane", "Lenses"), ("TMB", None, None))
 
 
 def test_dictionary_finds_names_symbols_and_marks():
     d = tagging.Dictionary(UNIVERSE)
-    assert d.tickers("Nvidia corporation and $AMD rose; NASDAQ: AI fell") == ["NVDA", "AMD", "AI"]
-    assert d.tickers("AI is everywhere (AI)") == []
-    assert d.tickers("Marvell.") == []  # a full stop continues a name, as in C3.ai
-    assert d.tickers("(AI +2.1%) beat C3.ai and Marvell") == ["AI", "MRVL"]
-    assert d.tickers("NVDAX AMDs xAMD") == []
-    assert d.tickers(None) == [] and d.tickers("") == []
+    assert d.tickers("quillet CORPORATION and $BRS rose; Nasdaq: AI fell") == ["QLT", "BRS", "AI"]
+    assert d.tickers("AI is everywhere (AI), and VV too") == []
+    assert d.tickers("Tamber.") == []  # a full stop continues a name
+    assert d.tickers("(AI +2.1%) beat N7.bio, Tamber and ( VV -3)") == ["AI", "TMBR", "VV"]
+    assert d.tickers("vale & vane, NYSE VV and (TMB)") == ["VV", "TMB"]
+    assert d.tickers("BRSX TMBRs xBRS İ Quillet Corporations") == []
+    assert d.tickers("İ then Tamber") == ["TMBR"]
+    assert d.tickers(None) == [] and d.tickers("") == [] and tagging.Dictionary(()).tickers("BRS") == []
+
+
+def test_short_names():
+    assert [tagging.short_name(x) for x in ("Tamber Technology", "Tamber", "Brass River Mining", "Global Systems", "Oak Group", "Quarrel Systems Holdings,")] == ["Tamber", None, None, None, None, "Quarrel"]
 
 
 def test_annotation_is_idempotent():
     d = tagging.Dictionary(UNIVERSE)
-    once = d.annotated("NVDA beat Advanced Micro Devices, NVDA again.")
-    assert once == "NVDA (NVIDIA Corporation) beat Advanced Micro Devices (AMD), NVDA again."
-    assert d.annotated(once) == once
+    once = d.annotated("QLT beat Brass River Mining, QLT again. TMB (x) and Tamber (NYSE: TMBR)")
+    assert once == "QLT (Quillet Corporation) beat Brass River Mining (BRS), QLT again. TMB (x) and Tamber (NYSE: TMBR)"
+    assert d.annotated(once) == once and d.annotated(None) is None
 
 
 def test_derived_tags(spark):
     table = spark.createDataFrame(UNIVERSE, "ticker string, company_name string, segment string")
-    rows = [(1, [" amd ", "AI"], "t", "NVIDIA Corporation up"), (2, [], "t", "NVDA"), (3, None, None, None), (4, ["NVDA"], None, "NVDA")]
+    rows = [(1, [" brs ", "AI"], "t", "Quillet Corporation up"), (2, [], "t", "QLT"), (3, None, None, None), (4, ["QLT"], None, "QLT and $VV"), (5, ["zz", "AI", "BRS", "AI"], None, None), (4, ["QLT"], None, "QLT and $VV")]
     articles = spark.createDataFrame(rows, "id int, tickers array<string>, title string, content string")
-    got = {r.id: (r.primary_ticker, r.primary_segment, r.more_tickers, r.more_segments) for r in tagging.derived_tags(articles, table).collect()}
-    assert got == {1: ("AMD", "GPUs", ["AI", "NVDA"], ["AI Software"]), 2: (None,) * 4, 3: (None,) * 4, 4: ("NVDA", "GPUs", None, None)}
+    got = sorted((r.id, r.primary_ticker, r.primary_segment, r.more_tickers, r.more_segments) for r in tagging.derived_tags(articles, table).collect())
+    four = (4, "QLT", "Lenses", ["VV"], None)
+    assert got == [(1, "BRS", "Ores", ["AI", "QLT"], ["Assays", "Lenses"]), (2, *(None,) * 4), (3, *(None,) * 4), four, four, (5, "ZZ", None, ["AI", "BRS"], ["Assays", "Ores"])]
 
 
 def test_quotes_are_spans_of_the_source():
-    source = "The board approved a buyback of 2 million shares on Monday."
-    assert boxes.aligned_quote('"approved a buyback"', source) == "approved a buyback"
-    near = boxes.aligned_quote("- approved the buyback of 2 million shares", source)
-    assert near and near in source
-    assert boxes.aligned_quote("nothing of the kind was said here at all", source) is None
-    assert boxes.aligned_quotes(["approved a buyback", "“approved a buyback”", "zzzz qqqq"], source) == (["approved a buyback"], 1)
-    assert boxes.aligned_quotes(None, None) == ([], 0)
+    source = "In short: the harbour office sold four old cranes to a museum on Friday, and nobody complained about the price it fetched."
+    align = lambda q: boxes.aligned_quotes([q], source)
+    assert align('"sold four old cranes"') == (["sold four old cranes"], 0)
+    assert align("- the harbor office sold four old cranes to the museum on Friday") == (["the harbour office sold four old cranes to a museum on Friday"], 0)
+    assert align("sold four cranes to a museum") == (["sold four old cranes to a museum"], 0)
+    assert align("a wholly different sentence about bread, butter and tea") == ([], 1)
+    assert boxes.aligned_quotes(["old cranes", "“old cranes”", " ", "zzzz qqqq", None], source) == (["old cranes"], 3)
+    assert boxes.aligned_quotes(None, None) == ([], 0) and boxes.aligned_quotes(["x"], None) == ([], 1)
+    long = "word " * 50_000 + source
+    assert boxes.aligned_quotes(["the harbour office sold four new cranes"], long) == (["the harbour office sold four old cranes"], 0)
 
 
 def test_boxes_of_raw_completions():
-    assert boxes.boxes_in('<think>x</think>```json\n{"boxes": ["TOPIC: a", " "]}\n```') == ["TOPIC: a"]
-    assert boxes.boxes_in('{"boxes": [{"Topic": "t", "insight": "i", "quotes": "q"}]}') == ["TOPIC: t\nINSIGHT: i\nQUOTES:\nq"]
-    assert boxes.boxes_in('{"boxes": [{"TOPIC: a"}]}') == ["TOPIC: a"]
-    assert boxes.boxes_in('{"boxes": []} tail') == [] and boxes.boxes_in("no") is None and boxes.boxes_in(None) is None
+    assert boxes.boxes_in('<think>{"boxes": ["no"]} hm</think>Here:\n```json\n{"boxes": ["TOPIC: tide", "  "]}\n```') == ["TOPIC: tide"]
+    assert boxes.boxes_in('{"note": 1} {"boxes": [{"Topic": "t", "insight": "i", "quotes": "q"}]}') == ["TOPIC: t\nINSIGHT: i\nQUOTES:\nq"]
+    assert boxes.boxes_in('{"boxes": [ { "TOPIC: {tide} \\"x\\"" }, {"topic": "u"}, 7]}') == ['TOPIC: {tide} "x"', "TOPIC: u\nINSIGHT: \nQUOTES:"]
+    assert boxes.boxes_in('{"boxes": []} tail') == [] and boxes.boxes_in("no") is None and boxes.boxes_in(None) is None and boxes.boxes_in('{"boxes": ["cut') is None
 
 
 def test_pages():
@@ -89,7 +99,7 @@ def test_file_readers(spark, tmp_path):
     with pytest.raises(ValueError, match="missing"):
         files.required(spark.range(1), ("x",))
     statements = tmp_path / "s.json"
-    statements.write_text('[{"statement": "a", "scope": "ticker", "scope_value": "X"}]')
+    statements.write_text('[{"statement": "tolls rise", "scope": "segment", "scope_value": "Ores"}]')
     assert files.statements_json(spark, str(statements)).count() == 1
     universe = tmp_path / "u.csv"
     universe.write_text("ticker,company_name,segment\n a ,Acme, \n,x,y\n")
