@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -36,11 +36,11 @@ def cosine_to(column: Column, vector: list[float]) -> Column:
     return cosine(column)
 
 
-def nearest(seeds: DataFrame, corpus: DataFrame, k: int, *, floor: float = -1.0, keep: str | None = None) -> DataFrame:
+def nearest(seeds: DataFrame, corpus: DataFrame, k: int, *, floor: float = -1.0, keep: Callable[[dict, dict], np.ndarray] | None = None) -> DataFrame:
     """(seed_id, id, similarity): each seed's k most similar corpus rows above `floor`.
 
-    seeds (seed_id bigint, vector, plus columns named in `keep`), corpus (id bigint, vector, plus the same). `keep` is a Python
-    expression over numpy arrays: s_<column> and c_<column> broadcast against each other; pairs where it is false are no candidates.
+    seeds (seed_id bigint, vector, plus what `keep` needs), corpus (id bigint, vector, plus the same). `keep` is given the other columns of the
+    seeds (as columns) and of the corpus (as rows), numpy arrays by name that broadcast against each other; pairs where it is false are no candidates.
     Seeds are a stated query set: they are broadcast in blocks of about `SEED_BLOCK`, each block against all rows, with a partial top-k per batch.
     """
     names = [c for c in corpus.columns if c not in ("id", "vector")]
@@ -60,8 +60,8 @@ def nearest(seeds: DataFrame, corpus: DataFrame, k: int, *, floor: float = -1.0,
                 s = seeds_ @ unit(m).T
                 s[~np.isfinite(s)] = -9
                 if keep:
-                    scope = {f"s_{c}": v[:, None] for c, v in fields.items()} | {f"c_{c}": batch.column(c).to_numpy(zero_copy_only=False)[None, :] for c in names}
-                    s[~np.broadcast_to(eval(keep, {"np": np}, scope), s.shape)] = -9  # noqa: S307 - an expression of the caller's own code
+                    good = keep({c: v[:, None] for c, v in fields.items()}, {c: batch.column(c).to_numpy(zero_copy_only=False)[None, :] for c in names})
+                    s[~np.broadcast_to(good, s.shape)] = -9
                 s = np.round(s, DIGITS)  # copies tie, whatever the order of their sums
                 top = min(k, s.shape[1])
                 least = -np.partition(-s, top - 1, axis=1)[:, top - 1 : top]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,7 +47,10 @@ def box_hits(seeds: DataFrame, boxes: DataFrame, *, k: int, floor: float, window
 
     Both have id (seeds: seed_id), vector, article_id and us, the article's instant in microseconds.
     """
-    keep = "(s_article_id != c_article_id) & (c_us < s_us)"
-    if window_days:
-        keep += f" & (c_us >= s_us - {window_days * 86_400_000_000})"
-    return nearest(seeds, boxes, k, floor=floor, keep=keep)
+    reach = window_days * 86_400_000_000 if window_days else None
+
+    def earlier(s: dict, c: dict) -> np.ndarray:
+        good = (s["article_id"] != c["article_id"]) & (c["us"] < s["us"])
+        return good if reach is None else good & (c["us"] >= s["us"] - reach)
+
+    return nearest(seeds, boxes, k, floor=floor, keep=earlier)

@@ -16,8 +16,22 @@ def latest(delta: DataFrame, keys: list[str], order: str) -> DataFrame:
     return delta.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.col(order)).alias("_d")).select(*keys, "_d.*")
 
 
-def upsert(base: DataFrame, delta: DataFrame, keys: list[str], *, keep: tuple[str, ...] = (), null_on_update: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of `delta` replace those of their key or are added; `keep` columns stay as they were on an update, others may be nulled by one."""
+def one_per_key(delta: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """One row per key: the last by `order`, else one of them whole."""
+    if order:
+        return latest(delta, keys, order)
+    rest = [c for c in delta.columns if c not in keys]
+    if not rest:
+        return delta.dropDuplicates(keys)
+    return delta.groupBy(*keys).agg(F.first(F.struct(*rest)).alias("_d")).select(*keys, "_d.*")
+
+
+def upsert(base: DataFrame, delta: DataFrame, keys: list[str], *, keep: tuple[str, ...] = (), null_on_update: tuple[str, ...] = (), order: str | None = None) -> DataFrame:
+    """Rows of `delta` replace those of their key or are added; `keep` columns stay as they were on an update, others may be nulled by one.
+
+    Of several delta rows of one key the last by `order` counts, or any one of them.
+    """
+    delta = one_per_key(delta, keys, order)
     b = base.select(*keys, F.struct(*base.columns).alias("_b"))
     d = delta.select(*keys, F.struct(*delta.columns).alias("_d"))
     joined = b.join(d, keys, "full_outer")
@@ -34,14 +48,14 @@ def upsert(base: DataFrame, delta: DataFrame, keys: list[str], *, keep: tuple[st
     return joined.select(*out)
 
 
-def insert_absent(base: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
-    """`base` and the rows of `delta` whose key it lacks."""
-    return base.unionByName(delta.join(base.select(*keys), keys, "left_anti").select(*base.columns))
+def insert_absent(base: DataFrame, delta: DataFrame, keys: list[str], order: str | None = None) -> DataFrame:
+    """`base` and the rows of `delta` whose key it lacks, each key once."""
+    return base.unionByName(one_per_key(delta, keys, order).join(base.select(*keys), keys, "left_anti").select(*base.columns))
 
 
 def set_if_null(base: DataFrame, delta: DataFrame, keys: list[str], column: str) -> DataFrame:
     """`column` filled from `delta` where it is null."""
-    new = delta.select(*keys, F.col(column).alias("_new"))
+    new = one_per_key(delta.select(*keys, F.col(column).alias("_new")), keys)
     return base.join(new, keys, "left").withColumn(column, F.coalesce(column, "_new")).drop("_new")
 
 

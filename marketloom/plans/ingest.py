@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions import text, urls
+from marketloom.functions.tagging import universe_of
 from marketloom.operators import feed, upsert
 from marketloom.plans.registry import Tables, query
 from marketloom.semantics import array_or_null, backoff_seconds, blank_to_null, collapsed, feed_time, overlaps, stripped
@@ -221,7 +222,7 @@ def box_parse(t: Tables) -> DataFrame:
 @query("""SELECT id, list_distinct([upper(trim(x)) FOR x IN tickers IF trim(x) <> '']) IS NOT NULL AND list_has_any([upper(trim(x)) FOR x IN tickers IF x IS NOT NULL], (SELECT list(ticker) FROM ticker_data WHERE segment = 'Cloud')) AS hit FROM articles WHERE tickers IS NOT NULL""")
 def array_overlap_filter(t: Tables) -> DataFrame:
     """Articles whose tickers share one with a segment's."""
-    wanted = [r.ticker for r in t.ticker_data.filter("segment = 'Cloud'").collect()]  # a dimension
+    wanted = [ticker for ticker, _, segment in universe_of(t.ticker_data) if segment == "Cloud"]  # refuses to grow beyond a dimension
     clean = F.transform("tickers", lambda x: F.upper(stripped(x)))
     return t.articles.filter(F.col("tickers").isNotNull()).select("id", overlaps(clean, wanted).alias("hit"))
 

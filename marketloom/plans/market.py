@@ -12,6 +12,9 @@ from marketloom.semantics import market_date, market_time, session_of, stripped
 _BARS = "b AS (SELECT event_id, user_id, ts, value, CAST(timezone('America/New_York', timezone('UTC', ts)) AS DATE) AS day FROM events)"
 
 
+WEEK = 7 * 86_400.0  # as-of joins cut a key into slices of so many seconds
+
+
 def _bars(t: Tables) -> DataFrame:
     return t.events.select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"), "value", "event_type")
 
@@ -68,7 +71,7 @@ def _news_and_prices(t: Tables) -> tuple[DataFrame, DataFrame]:
 def asof_forward(t: Tables) -> DataFrame:
     """The first price at or after each item."""
     news, prices = _news_and_prices(t)
-    joined = asof.asof_join(news, prices, by="user_id", left_time="ts", right_time="ts", direction="forward")
+    joined = asof.asof_join(news, prices, by="user_id", left_time="ts", right_time="ts", direction="forward", slice_seconds=WEEK)
     return joined.select("event_id", F.col("r_value").alias("value"), F.unix_micros("r_ts").alias("us"))
 
 
@@ -77,7 +80,7 @@ FROM (SELECT n.event_id, q.value, epoch_us(q.ts) AS us, epoch_us(n.ts) - epoch_u
 def asof_backward_tolerance(t: Tables) -> DataFrame:
     """The last price at or before each item, not older than four hours."""
     news, prices = _news_and_prices(t)
-    joined = asof.asof_join(news, prices, by="user_id", left_time="ts", right_time="ts", tolerance_seconds=14_400)
+    joined = asof.asof_join(news, prices, by="user_id", left_time="ts", right_time="ts", tolerance_seconds=14_400, slice_seconds=WEEK)
     return joined.select("event_id", F.col("r_value").alias("value"), F.unix_micros("r_ts").alias("us"))
 
 
@@ -86,7 +89,7 @@ f AS (SELECT n.event_id, q.value, epoch_us(q.ts) - epoch_us(n.ts) AS d FROM n AS
 SELECT b.event_id, CASE WHEN b.d IS NOT NULL AND (f.d IS NULL OR b.d <= f.d) THEN b.value ELSE f.value END AS value FROM b JOIN f USING (event_id)""")
 def asof_nearest(t: Tables) -> DataFrame:
     news, prices = _news_and_prices(t)
-    return asof.nearest_join(news, prices, by="user_id", left_time="ts", right_time="ts").select("event_id", F.col("r_value").alias("value"))
+    return asof.nearest_join(news, prices, by="user_id", left_time="ts", right_time="ts", slice_seconds=WEEK).select("event_id", F.col("r_value").alias("value"))
 
 
 @query(f"""WITH {_BARS}, d AS (SELECT DISTINCT user_id, day FROM b) SELECT user_id, CAST(day AS VARCHAR) AS day, CAST(lead(day) OVER (PARTITION BY user_id ORDER BY day) AS VARCHAR) AS next_day FROM d""")
@@ -126,10 +129,10 @@ def session_spans(t: Tables) -> DataFrame:
     return rows.groupBy("user_id", F.col("day").cast("string").alias("day")).agg(F.min(pre).alias("pre_first"), F.max(pre).alias("pre_last"), F.min(post).alias("post_first"), F.max(post).alias("post_last"))
 
 
-@query("""SELECT event_type, user_id, count(*) AS n, avg(value) AS mean, grouping(event_type, user_id) AS level FROM events WHERE user_id < 20 GROUP BY GROUPING SETS ((event_type, user_id), (event_type), ())""")
+@query("""SELECT event_type, user_id, count(*) AS n, avg(value) AS mean, grouping(event_type, user_id) AS level FROM events GROUP BY GROUPING SETS ((event_type, user_id), (event_type), ())""")
 def grouping_sets_summary(t: Tables) -> DataFrame:
     t.events.createOrReplaceTempView("marketloom_events")
-    return t.spark.sql("SELECT event_type, user_id, count(*) AS n, avg(value) AS mean, grouping_id(event_type, user_id) AS level FROM marketloom_events WHERE user_id < 20 GROUP BY event_type, user_id GROUPING SETS ((event_type, user_id), (event_type), ())")
+    return t.spark.sql("SELECT event_type, user_id, count(*) AS n, avg(value) AS mean, grouping_id(event_type, user_id) AS level FROM marketloom_events GROUP BY event_type, user_id GROUPING SETS ((event_type, user_id), (event_type), ())")
 
 
 @query("""SELECT o_orderstatus AS status, o_orderpriority AS priority, count(*) AS n FROM orders GROUP BY ROLLUP (o_orderstatus, o_orderpriority)""")
@@ -213,29 +216,53 @@ def interval_join_by_bins(t: Tables) -> DataFrame:
 
 
 @query("""
-WITH p(prefix, price) AS (VALUES ('judge', 1.0), ('judge-a', 2.5)), m AS (SELECT DISTINCT model FROM article_sentiment)
-SELECT s.model, count(*) AS n, arg_max(price, length(prefix)) * count(DISTINCT article_id) / 2 AS cost FROM article_sentiment s LEFT JOIN p ON starts_with(s.model, prefix) GROUP BY s.model
+WITH p(prefix, price) AS (VALUES ('judge', 1.0), ('judge-a', 2.5)), m AS (SELECT model, count(*) AS n, CAST(sum(length(reasoning)) AS BIGINT) AS chars FROM article_sentiment GROUP BY model),
+f AS (SELECT m.model, p.price, row_number() OVER (PARTITION BY m.model ORDER BY length(prefix) DESC) AS k FROM m LEFT JOIN p ON starts_with(m.model, prefix))
+SELECT m.model, n, chars, chars * f.price / 1e6 AS cost FROM m JOIN f ON f.model = m.model AND f.k = 1
 """)
 def longest_prefix_join(t: Tables) -> DataFrame:
-    """A price per model by the longest prefix that fits it; the models are found first, so the join sees each once."""
+    """What each model's answers cost at the price of the longest prefix that fits it; models are counted first, so each meets the prices once."""
     prices = t.spark.createDataFrame([("judge", 1.0), ("judge-a", 2.5)], "prefix string, price double")
-    models = t.article_sentiment.groupBy("model").agg(F.count("*").alias("rows"), F.countDistinct("article_id").alias("articles"))
-    fits = models.join(F.broadcast(prices), F.col("model").startswith(F.col("prefix")), "left")
-    best = fits.groupBy("model", "rows", "articles").agg(F.count("*").alias("k"), F.max_by("price", F.length("prefix")).alias("price"))
-    return best.select("model", (F.col("rows") * F.col("k")).alias("n"), (F.col("price") * F.col("articles") / 2).alias("cost"))
+    models = t.article_sentiment.groupBy("model").agg(F.count("*").alias("n"), F.sum(F.length("reasoning")).alias("chars"))
+    fits = models.join(F.broadcast(prices), F.col("model").startswith(F.col("prefix")), "left")  # two rows
+    best = fits.groupBy("model").agg(F.first("n").alias("n"), F.first("chars").alias("chars"), F.max_by("price", F.length("prefix")).alias("price"))
+    return best.select("model", "n", "chars", (F.col("chars") * F.col("price") / 1e6).alias("cost"))
 
 
 @query("""
-WITH w AS (SELECT range AS id FROM range(1, 2001, 7))
+WITH w AS (SELECT range AS id FROM range(1, (SELECT max(id) + 1001 FROM articles)))
 SELECT w.id, a.id IS NULL AS missing, a.status FROM w LEFT JOIN articles a ON a.id = w.id
 """)
 def missing_ids_restored(t: Tables) -> DataFrame:
-    """Wanted ids that are not there come out with nulls."""
-    wanted = t.spark.range(1, 2001, 7)
+    """Every id from 1 to a thousand beyond the largest: those that are not there come out with nulls."""
+    wanted = t.articles.agg(F.explode(F.sequence(F.lit(0), F.max("id").cast("bigint") + 1000, F.lit(1 << 16))).alias("a"), F.max("id").alias("m"))
+    wanted = wanted.select(F.explode(F.sequence(F.greatest("a", F.lit(1)), F.least(F.col("a") + (1 << 16) - 1, F.col("m") + 1000))).alias("id"))
     found = t.articles.select(F.col("id"), F.lit(True).alias("there"), "status")
     return wanted.join(found, "id", "left").select("id", F.col("there").isNull().alias("missing"), "status")
 
 
+@query("""
+SELECT id, primary_ticker, CAST(CAST(timezone('America/New_York', published_utc) AS DATE) AS VARCHAR) AS day FROM articles
+WHERE category IN ('earnings report', 'contract win', 'macro news') AND primary_ticker IS NOT NULL AND CAST(timezone('America/New_York', published_utc) AS DATE) BETWEEN DATE '2024-03-01' AND DATE '2025-09-30'
+""")
+def category_ticker_date_scan(t: Tables) -> DataFrame:
+    """Articles of some categories that have a primary ticker, within a range of the exchange's days."""
+    day = market_date(F.col("published_utc"))
+    rows = t.articles.filter(F.col("category").isin("earnings report", "contract win", "macro news") & F.col("primary_ticker").isNotNull())
+    return rows.filter(day.between(F.to_date(F.lit("2024-03-01")), F.to_date(F.lit("2025-09-30")))).select("id", "primary_ticker", day.cast("string").alias("day"))
+
+
+@query("""
+WITH x AS (SELECT upper(trim(ticker)) AS ticker, CAST(timezone('America/New_York', a.published_utc) AS DATE) AS d FROM article_sentiment s JOIN articles a ON a.id = s.article_id WHERE a.published_utc IS NOT NULL)
+SELECT ticker, CAST(min(d) AS VARCHAR) AS first_day, CAST(max(d) AS VARCHAR) AS last_day, count(*) AS n FROM x GROUP BY ticker
+""")
+def ticker_windows(t: Tables) -> DataFrame:
+    """The first and last day of the exchange on which a ticker has a verdict: the window its bars are needed for."""
+    days = t.articles.filter(F.col("published_utc").isNotNull()).select(F.col("id").alias("article_id"), market_date(F.col("published_utc")).alias("d"))
+    rows = t.article_sentiment.select("article_id", F.upper(stripped(F.col("ticker"))).alias("ticker")).join(days, "article_id")
+    return rows.groupBy("ticker").agg(F.min("d").cast("string").alias("first_day"), F.max("d").cast("string").alias("last_day"), F.count("*").alias("n"))
+
+
 @query("""SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS k FROM orders) WHERE k <= 3""")
 def top_per_group(t: Tables) -> DataFrame:
     """The three largest of each key; tasks cut their groups before the shuffle."""

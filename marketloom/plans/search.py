@@ -108,7 +108,7 @@ def precedents_article(t: Tables) -> DataFrame:
     """Each query article's five most similar ones of the 90 days before it."""
     rows = retrieval.usable(t.articles).filter(F.col("published_utc").isNotNull()).select("id", F.col("embedding").alias("vector"), F.unix_micros("published_utc").alias("us"))
     seeds = rows.filter("id % 50 = 0").select(F.col("id").alias("seed_id"), "vector", "us")
-    return _rounded(nearest(seeds, rows, 5, keep="(c_us < s_us) & (c_us >= s_us - 7776000000000)").select("seed_id", "id", "similarity"))
+    return _rounded(nearest(seeds, rows, 5, keep=lambda s, c: (c["us"] < s["us"]) & (c["us"] >= s["us"] - 7_776_000_000_000)).select("seed_id", "id", "similarity"))
 
 
 @query(f"""WITH {_A}, {_B}, q AS (SELECT id AS sid, e AS se, us AS sus FROM a WHERE id % 50 = 0 AND us IS NOT NULL),
@@ -122,7 +122,7 @@ def precedents_hybrid(t: Tables) -> DataFrame:
     """
     rows = retrieval.usable(t.articles).filter(F.col("published_utc").isNotNull()).select("id", F.col("embedding").alias("vector"), F.unix_micros("published_utc").alias("us"))
     seeds = rows.filter("id % 50 = 0").select(F.col("id").alias("seed_id"), "vector", "us")
-    near = nearest(seeds, rows, 1 << 30, floor=0.3, keep="c_us < s_us").select(F.col("seed_id").alias("seed_article"), F.col("id").alias("article_id"))
+    near = nearest(seeds, rows, 1 << 30, floor=0.3, keep=lambda s, c: c["us"] < s["us"]).select(F.col("seed_id").alias("seed_article"), F.col("id").alias("article_id"))
     boxes = _boxes(t)
     mine = boxes.join(near.select("seed_article").distinct(), F.col("article_id") == F.col("seed_article"), "left_semi").select(F.col("article_id").alias("seed_article"), F.col("vector").alias("sv"))
     pairs = near.join(boxes.select("id", "article_id", "vector"), "article_id").join(mine, "seed_article")

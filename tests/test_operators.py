@@ -92,8 +92,34 @@ def test_asof_against_a_plain_loop(spark):
     b = spark.createDataFrame(right, "k string, t int, v int")
     for forward in (True, False):
         for strict in (True, False):
-            got = asof.asof_join(a, b, by="k", left_time="t", right_time="t", direction="forward" if forward else "backward", strict=strict)
-            assert {r.i: r.r_v for r in got.collect()} == _naive_asof(left, right, forward, strict), (forward, strict)
+            for width in (None, 7, 1):
+                got = asof.asof_join(a, b, by="k", left_time="t", right_time="t", direction="forward" if forward else "backward", strict=strict, slice_seconds=width).collect()
+                assert len(got) == len(left) and {r.i: r.r_v for r in got} == _naive_asof(left, right, forward, strict), (forward, strict, width)
+
+
+def test_nearest_with_slices_against_a_plain_loop(spark):
+    rng = random.Random(6)
+    left = [(i, rng.choice(["a", "b", None]), rng.choice([rng.randrange(60), None])) for i in range(80)]
+    right = [(rng.choice(["a", "c"]), rng.randrange(60), i) for i in range(25)]
+    a = spark.createDataFrame(left, "i int, k string, s int").select("i", "k", F.timestamp_seconds("s").alias("t"))
+    b = spark.createDataFrame(right, "k string, s int, v int").select("k", F.timestamp_seconds("s").alias("t"), "v")
+    want = {}
+    for i, k, t in left:
+        fits = [(abs(rt - t), rt > t, rt, v) for rk, rt, v in right if rk == k and t is not None]
+        want[i] = min(fits)[3] if fits else None
+    for width in (None, 11.0):
+        got = asof.nearest_join(a, b, by="k", left_time="t", right_time="t", slice_seconds=width).collect()
+        assert len(got) == len(left) and {r.i: r.r_v for r in got} == want, width
+
+
+def test_a_hot_key_is_many_window_partitions(spark):
+    a = spark.range(2000).select(F.lit("hot").alias("k"), F.col("id").alias("t"))
+    b = spark.range(0, 2000, 3).select(F.lit("hot").alias("k"), F.col("id").alias("t"), F.col("id").alias("v"))
+    joined = asof.asof_join(a, b, by="k", left_time="t", right_time="t", slice_seconds=50)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    each = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert len(each) > 1 and sum(each) == 2000
 
 
 def test_asof_tolerance_and_nearest(spark):
@@ -146,6 +172,10 @@ def test_upserts(spark):
     assert [tuple(r) for r in upsert.delete(base, delta, ["k"]).collect()] == [(1, "a", "x")]
     holes = spark.createDataFrame([(1, None), (2, "b")], "k int, v string")
     assert sorted(map(tuple, upsert.set_if_null(holes, spark.createDataFrame([(1, "n"), (2, "m")], "k int, v string"), ["k"], "v").collect())) == [(1, "n"), (2, "b")]
+    twice = spark.createDataFrame([(2, "B", "Z"), (2, "B2", "Z2"), (3, "C", "Q"), (3, "C2", "Q2")], "k int, v string, w string")
+    assert sorted(map(tuple, upsert.upsert(base, twice, ["k"], order="v").collect())) == [(1, "a", "x"), (2, "B2", "Z2"), (3, "C2", "Q2")]
+    assert sorted(map(tuple, upsert.insert_absent(base, twice, ["k"], order="w").collect())) == [(1, "a", "x"), (2, "b", "y"), (3, "C2", "Q2")]
+    assert upsert.upsert(base, twice, ["k"]).count() == upsert.insert_absent(base, twice, ["k"]).count() == upsert.set_if_null(base, twice, ["k"], "v").count() + 1 == 3
     newest = spark.createDataFrame([(1, "o", 1), (1, "n", 2)], "k int, v string, s int")
     assert [r.v for r in upsert.latest(newest, ["k"], "s").collect()] == ["n"]
 
