@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,7 @@ from marketloom.semantics import blank_to_null, collapsed
 BAD_STATUS = (401, 403, 404, 429)
 CHALLENGES = ("Just a moment", "cf-browser-verification", "Checking your browser", "Attention Required", "Enable JavaScript and cookies to continue")
 MIN_HTML = 800
+_WORD = re.compile(r"[ \t\n\r\f]*[^ \t\n\r\f]+")
 
 
 def embedding_text(title: Column, content: Column, most: int = 64_000) -> Column:
@@ -64,3 +68,30 @@ def box_parts(box: Column) -> Column:
     tail = F.when(has("QUOTES"), F.regexp_replace(box, r"(?s)^(?:.*?\n)?QUOTES:[^\n]*\n?", "")).otherwise(F.lit(""))
     quotes = F.filter(F.transform(F.split(tail, "\n"), lambda x: F.rtrim(x)), lambda x: F.trim(x) != "")
     return F.struct(F.when(has("TOPIC"), line("TOPIC")).alias("topic"), F.when(has("INSIGHT"), line("INSIGHT")).alias("insight"), quotes.alias("quotes"))
+
+
+class Words:
+    """A stand-in tokenizer: words with the white space before them."""
+
+    def cut(self, value: str, most: int) -> str:
+        end = 0
+        for n, m in enumerate(_WORD.finditer(value), 1):
+            if n > most:
+                break
+            end = m.end()
+        return value[:end]
+
+
+def cut_to_tokens(value: Column, most: int, *, passing: int = 8000, tokenizer: object | None = None) -> Column:
+    """The text cut to its first `most` tokens; texts of at most `passing` characters pass as they are, blank ones become one blank.
+
+    `tokenizer` has cut(text, most). Texts that pass never reach Python's tokenizer.
+    """
+    cutter = tokenizer or Words()
+
+    @F.pandas_udf("string")
+    def cut(values: pd.Series) -> pd.Series:
+        return values.map(lambda v: v if v is None or len(v) <= passing else cutter.cut(v, most))
+
+    blank = F.coalesce(F.trim(value), F.lit("")) == ""
+    return F.when(blank, F.lit(" ")).otherwise(cut(value))

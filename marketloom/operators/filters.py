@@ -47,3 +47,12 @@ class SearchFilter:
         if self.exclude_id is not None:
             out = out & (c("id") != self.exclude_id)
         return out
+
+
+def scoped(scope: str | None, value: str | None) -> SearchFilter:
+    """The filter of a statement's scope: one ticker, one segment, or the whole sector."""
+    kind = (scope or "sector").strip().lower()
+    makers = {"sector": lambda _: SearchFilter(), "ticker": lambda v: SearchFilter(tickers=(v,)), "segment": lambda v: SearchFilter(segment=v)}
+    if kind not in makers or kind != "sector" and not value:
+        raise ValueError(f"a scope of {kind!r} with the value {value!r} says nothing")
+    return makers[kind](value)

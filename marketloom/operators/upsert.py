@@ -71,3 +71,22 @@ def reset(base: DataFrame, columns: list[str], where) -> DataFrame:
 def pending(base: DataFrame, done: DataFrame, keys: list[str]) -> DataFrame:
     """Rows that have no counterpart in `done`."""
     return base.join(done.select(*keys).distinct(), keys, "left_anti")
+
+
+def readiness(wanted: DataFrame, articles: DataFrame) -> DataFrame:
+    """One row of counts: of the wanted (article_id) how many are missing, not ok, without content or date, and usable."""
+    a = articles.select("id", "status", "published_utc", F.coalesce(F.trim("content"), F.lit("")).alias("c"))
+    joined = wanted.join(a, F.col("article_id") == F.col("id"), "left")
+    there, ok = F.col("id").isNotNull(), F.coalesce(F.col("status") == "ok", F.lit(False))
+    return joined.agg(
+        F.count("*").alias("wanted"), F.count_if(~there).alias("missing"), F.count_if(there & ~ok).alias("not_ok"), F.count_if(there & (F.col("c") == "")).alias("without_content"),
+        F.count_if(there & F.col("published_utc").isNull()).alias("without_date"), F.count_if(ok & (F.col("c") != "") & F.col("published_utc").isNotNull()).alias("usable"),
+    )
+
+
+def checked_ready(wanted: DataFrame, articles: DataFrame) -> DataFrame:
+    """The wanted articles; an error that counts what is wrong unless all of them are usable."""
+    r = readiness(wanted, articles).first()
+    if r.usable < r.wanted:
+        raise ValueError(f"{r.wanted - r.usable} of {r.wanted} articles can't be evaluated: {r.missing} missing, {r.not_ok} not ok, {r.without_content} without content, {r.without_date} without date")
+    return articles.join(wanted.select(F.col("article_id").alias("id")), "id", "left_semi")

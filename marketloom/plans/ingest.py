@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import text, urls
 from marketloom.functions.tagging import universe_of
-from marketloom.operators import feed, upsert
+from marketloom.operators import feed, queue, upsert
 from marketloom.plans.registry import Tables, query
 from marketloom.semantics import array_or_null, backoff_seconds, blank_to_null, collapsed, feed_time, overlaps, stripped
 
@@ -152,6 +152,30 @@ def backoff_schedule(t: Tables) -> DataFrame:
     return t.pipeline_jobs.filter("status <> 'done'").select("article_url", "attempts", backoff_seconds(F.col("attempts")).alias("seconds"))
 
 
+_NOW = "2026-01-01 00:00:00"
+
+
+@query(f"""
+WITH f AS (SELECT *, attempts + 1 AS tries, stage = 'scrape' AND attempts >= 2 AS gone FROM pipeline_jobs WHERE status = 'running')
+SELECT j.article_url, CASE WHEN f.article_url IS NULL THEN j.status WHEN gone OR tries >= 5 THEN 'failed' ELSE 'pending' END AS status, coalesce(tries, j.attempts) AS attempts,
+  epoch_us(CASE WHEN f.article_url IS NOT NULL AND NOT (gone OR tries >= 5) THEN timezone('UTC', TIMESTAMP '{_NOW}') + CAST(least(30 * pow(2, tries - 1), 3600) AS BIGINT) * INTERVAL 1 SECOND ELSE j.next_attempt_at END) AS next_us
+FROM pipeline_jobs j LEFT JOIN f USING (article_url)
+""")
+def queue_after_failures(t: Tables) -> DataFrame:
+    """The queue after every running job has failed once more, some of them for good."""
+    failures = t.pipeline_jobs.filter("status = 'running'").select("article_url", F.lit("timeout").alias("error"), ((F.col("stage") == "scrape") & (F.col("attempts") >= 2)).alias("permanent"))
+    after = queue.after_failures(t.pipeline_jobs, failures, F.to_timestamp(F.lit(_NOW)))
+    return after.select("article_url", "status", "attempts", F.unix_micros("next_attempt_at").alias("next_us"))
+
+
+@query(f"""SELECT article_url, CASE WHEN status IN ('running', 'failed') THEN 'pending' ELSE status END AS status, CASE WHEN status = 'failed' THEN 0 ELSE attempts END AS attempts,
+  epoch_us(CASE WHEN status = 'failed' THEN timezone('UTC', TIMESTAMP '{_NOW}') ELSE next_attempt_at END) AS next_us FROM pipeline_jobs""")
+def queue_recovered(t: Tables) -> DataFrame:
+    """The queue after a restart: orphans pending again, failed jobs tried anew."""
+    again = queue.requeued(queue.recovered(t.pipeline_jobs), F.to_timestamp(F.lit(_NOW)))
+    return again.select("article_url", "status", "attempts", F.unix_micros("next_attempt_at").alias("next_us"))
+
+
 @query("""SELECT article_url, json_extract_string(source_meta, '$.provider') AS provider, CAST(json_extract_string(source_meta, '$.seq') AS BIGINT) AS seq FROM pipeline_jobs""")
 def json_meta_extract(t: Tables) -> DataFrame:
     meta = F.from_json("source_meta", "provider string, seq bigint")
@@ -244,6 +268,36 @@ def map_explode(t: Tables) -> DataFrame:
     return t.articles.select("id", F.explode("provider_sentiments").alias("ticker", "v")).select("id", "ticker", "v.sentiment")
 
 
+@query("""
+WITH x AS (SELECT id, primary_ticker, primary_segment, coalesce(len(more_tickers), 0) AS more FROM articles),
+m AS (SELECT DISTINCT upper(trim(p)) AS p FROM (SELECT primary_ticker AS p FROM articles UNION ALL SELECT unnest(more_tickers) FROM articles) WHERE trim(p) <> '')
+SELECT count(*) AS articles, count(*) FILTER (WHERE primary_ticker IS NOT NULL) AS tagged, count(*) FILTER (WHERE primary_segment IS NOT NULL) AS with_segment, count(*) FILTER (WHERE more > 0) AS with_more,
+  (SELECT count(*) FROM m WHERE p NOT IN (SELECT upper(trim(ticker)) FROM ticker_data)) AS unmatched_tickers FROM x
+""")
+def tag_run_counters(t: Tables) -> DataFrame:
+    """What a tagging run reached: articles tagged, with a segment, with more tickers, and tickers the universe lacks."""
+    more = F.coalesce(F.size("more_tickers"), F.lit(0)) > 0
+    counts = t.articles.agg(F.count("*").alias("articles"), F.count("primary_ticker").alias("tagged"), F.count("primary_segment").alias("with_segment"), F.count_if(more).alias("with_more"))
+    named = t.articles.select(F.explode(F.concat(F.array("primary_ticker"), F.coalesce("more_tickers", F.array().cast("array<string>")))).alias("p")).select(F.upper(stripped(F.col("p"))).alias("p")).filter("p <> ''").distinct()
+    unmatched = named.join(t.ticker_data.select(F.upper(stripped(F.col("ticker"))).alias("p")), "p", "left_anti").agg(F.count("*").alias("unmatched_tickers"))
+    return counts.crossJoin(F.broadcast(unmatched))  # one row
+
+
+@query("""SELECT count(*) AS wanted, count(*) FILTER (WHERE id IS NULL) AS missing, count(*) FILTER (WHERE id IS NOT NULL AND coalesce(status <> 'ok', true)) AS not_ok,
+  count(*) FILTER (WHERE id IS NOT NULL AND trim(coalesce(content, '')) = '') AS without_content, count(*) FILTER (WHERE id IS NOT NULL AND published_utc IS NULL) AS without_date,
+  count(*) FILTER (WHERE status = 'ok' AND trim(coalesce(content, '')) <> '' AND published_utc IS NOT NULL) AS usable
+  FROM (SELECT DISTINCT article_id FROM article_sentiment) s LEFT JOIN articles a ON a.id = s.article_id""")
+def evaluation_ready(t: Tables) -> DataFrame:
+    """How many of the articles to be evaluated are there, ok, with content and date; `checked_ready` makes an error of it."""
+    return upsert.readiness(t.article_sentiment.select("article_id").distinct(), t.articles)
+
+
+@query(r"""SELECT id, md5(CASE WHEN coalesce(trim(content), '') = '' THEN ' ' WHEN length(content) <= 800 THEN content ELSE array_to_string(regexp_extract_all(content, '[ \t\n\r\f]*[^ \t\n\r\f]+')[1:120], '') END) AS digest FROM articles""")
+def token_cut(t: Tables) -> DataFrame:
+    """Contents cut to 120 tokens of a tokenizer behind an interface (here words); short ones pass, blank ones become one blank."""
+    return t.articles.select("id", F.md5(text.cut_to_tokens(F.col("content"), 120, passing=800)).alias("digest"))
+
+
 @query("""SELECT publisher, count(*) AS articles, count(DISTINCT source_domain) AS domains FROM articles GROUP BY 1""")
 def publisher_counts(t: Tables) -> DataFrame:
     return t.articles.groupBy("publisher").agg(F.count("*").alias("articles"), F.countDistinct("source_domain").alias("domains"))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from marketloom.functions import text
 from marketloom.functions.vectors import nearest
-from marketloom.operators import retrieval
-from marketloom.operators.filters import SearchFilter
+from marketloom.operators import precedents, retrieval
+from marketloom.operators.filters import SearchFilter, scoped
 from marketloom.plans.registry import Tables, query
+from marketloom.providers import HashEmbedder
 from marketloom.semantics import months_before
 
 _USABLE = "embedding IS NOT NULL AND len(embedding) > 0 AND list_max([abs(x) FOR x IN embedding]) > 0"
@@ -67,6 +68,66 @@ def scoped_search(t: Tables) -> DataFrame:
     return _rounded(scored.withColumn("r", rank).filter("r <= 3").select("segment", "id", "similarity"))
 
 
+_TEXT = "wafer makers blamed export limits for a weak quarter"
+_EMBEDDER = HashEmbedder(64)
+
+
+def _vector(text: str) -> list[float]:
+    return [float(x) for x in _EMBEDDER.embed([text])[0]]
+
+
+def _literal(text: str) -> str:
+    return "[" + ", ".join(repr(x) for x in _vector(text)) + "]::DOUBLE[]"
+
+
+def _to(text: str, column: str = "a.e") -> str:
+    return f"round(list_cosine_similarity({column}, {_literal(text)}), 9)"
+
+
+@query(f"""WITH {_A}, h AS (SELECT a.id, {_to(_TEXT)} AS similarity FROM a WHERE coalesce(primary_segment = 'Cloud', false) OR coalesce(list_contains(more_segments, 'Cloud'), false) ORDER BY similarity DESC, a.id LIMIT 15)
+SELECT id, round(similarity, 6) AS similarity FROM h WHERE similarity >= 0.0""")
+def text_search(t: Tables) -> DataFrame:
+    """A text is embedded, the filter narrows the articles, then the top 15, then the floor."""
+    return _rounded(retrieval.similar_articles(t.articles, _vector(_TEXT), k=15, where=SearchFilter(segment="Cloud"), floor=0.0))
+
+
+@query(f"""WITH {_A}, s AS (SELECT id AS sid, e AS se FROM a WHERE url = (SELECT max(url) FROM a) ORDER BY id LIMIT 1)
+SELECT a.id, round({_COS}, 6) AS similarity FROM a, s WHERE a.id <> sid ORDER BY {_COS} DESC, a.id LIMIT 10""")
+def more_like_url(t: Tables) -> DataFrame:
+    """The 10 articles most similar to the one with an address."""
+    url = retrieval.usable(t.articles).agg(F.max("url")).first()[0]
+    seed, vector = retrieval.seed_vector(t.articles, F.col("url") == F.lit(url)) or (-1, [1.0])
+    return _rounded(retrieval.similar_articles(t.articles, vector, k=10, where=SearchFilter(exclude_id=seed)))
+
+
+_STATEMENTS = (("chip orders rise", "sector", None), ("a bank cuts its dividend", "segment", "Cloud"), ("new data centers are delayed", "ticker", "NVDA"))
+
+
+def _in_scope(scope: str, value: str | None) -> str:
+    if scope == "ticker":
+        return f"list_has_any([x FOR x IN coalesce(tickers, []) IF x IS NOT NULL], ['{value}'])"
+    return "true" if scope == "sector" else f"(coalesce(primary_segment = '{value}', false) OR coalesce(list_contains(more_segments, '{value}'), false))"
+
+
+@query(f"WITH {_A} " + " UNION ALL ".join(f"(SELECT '{x}' AS statement, id, round({_to(x)}, 6) AS similarity FROM a WHERE {_in_scope(scope, value)} ORDER BY {_to(x)} DESC, id LIMIT 8)" for x, scope, value in _STATEMENTS))
+def statement_batch(t: Tables) -> DataFrame:
+    """Statements, each searched within its own scope: the whole sector, a segment or a ticker."""
+    parts = [retrieval.similar_articles(t.articles, _vector(x), k=8, where=scoped(scope, value)).select(F.lit(x).alias("statement"), "id", "similarity") for x, scope, value in _STATEMENTS]
+    return _rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]))
+
+
+@query(f"""WITH {_B}, h AS (SELECT b.id, b.article_id, {_to(_TEXT, "b.e")} AS similarity FROM b JOIN articles x ON x.id = b.article_id
+  WHERE x.source_domain = 'marketwren.example' AND x.published_utc >= TIMESTAMPTZ '2024-03-01 00:00:00+00' AND x.published_utc < TIMESTAMPTZ '2026-01-01 00:00:00+00' ORDER BY similarity DESC, b.id LIMIT 25)
+SELECT id, article_id, round(similarity, 6) AS similarity FROM h WHERE similarity >= -0.2""")
+def box_text_search(t: Tables) -> DataFrame:
+    """Boxes most like a text, narrowed by conditions on their articles before any similarity."""
+    where = SearchFilter(domain="marketwren.example", since="2024-03-01", until="2025-12-31").column("a_")
+    a = t.articles.filter(F.col("published_utc").isNotNull()).select(*[F.col(c).alias("a_" + c) for c in ("id", "source_domain", "published_utc")]).filter(where)
+    boxes = retrieval.usable(t.article_insights).select("id", "article_id", "embedding").join(a.select(F.col("a_id").alias("article_id")), "article_id")
+    scored = boxes.select("id", "article_id", retrieval.cosine_to(F.col("embedding"), _vector(_TEXT)).alias("similarity"))
+    return _rounded(scored.orderBy(F.desc("similarity"), "id").limit(25).filter("similarity >= -0.2"))
+
+
 def _boxes(t: Tables) -> DataFrame:
     when = t.articles.filter(F.col("published_utc").isNotNull()).select(F.col("id").alias("article_id"), F.unix_micros("published_utc").alias("us"))
     boxes = retrieval.usable(t.article_insights).select("id", F.col("embedding").alias("vector"), "article_id")
@@ -190,3 +251,43 @@ def precedent_lines(t: Tables) -> DataFrame:
     a = t.articles.filter(F.col("published_utc").isNotNull()).select("id", "title", F.date_format("published_utc", "yyyy-MM-dd").alias("date"))
     line = text.precedent_line(F.col("date"), F.col("title"), F.transform("xs", lambda s: s["x"]))
     return a.join(g, F.col("article_id") == F.col("id")).select("id", F.md5(line).alias("digest"))
+
+
+def _box_strategy(name: str) -> str:
+    """SQL of a box strategy over q (the asking articles), l (boxes with labels) and a."""
+    s = precedents.STRATEGIES[name]
+    pool = f"SELECT * FROM l WHERE {s.label} IS DISTINCT FROM '{s.leave_out}'" if s.leave_out else "SELECT * FROM l"
+    near = f" AND EXISTS (SELECT 1 FROM a WHERE a.id = b.article_id AND a.id <> q.sid AND a.us < q.sus AND round(list_cosine_similarity(a.e, q.qe), 9) > {s.article_floor})" if s.article_floor is not None else ""
+    return f"""(SELECT '{name}' AS strategy, seed_article, id, {"label" if s.label else "CAST(NULL AS VARCHAR) AS label"}, round(similarity, 6) AS similarity, CAST(k AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY seed_article ORDER BY similarity DESC, id) AS k FROM (
+    SELECT q.sid AS seed_article, b.id, any_value(b.{s.label or "first_label"}) AS label, max(round(list_cosine_similarity(b.e, o.e), 9)) AS similarity
+    FROM q JOIN ({pool}) o ON o.article_id = q.sid JOIN ({pool}) b ON b.article_id <> q.sid AND b.us < q.sus WHERE round(list_cosine_similarity(b.e, o.e), 9) > {s.floor}{near} GROUP BY q.sid, b.id)) WHERE k <= {s.limit})"""
+
+
+_BOX_STRATEGIES = tuple(n for n, s in precedents.STRATEGIES.items() if s.what == "boxes")
+
+
+def _precedent_tables(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
+    articles = retrieval.usable(t.articles).filter(F.col("published_utc").isNotNull()).select("id", F.col("embedding").alias("vector"), F.unix_micros("published_utc").alias("us"), "primary_ticker")
+    labels = t.article_insights.select("id", "box_index", F.col("model").alias("first_label"), F.when(F.col("box_index") % 3 == 2, "DROP").otherwise(F.col("model")).alias("second_label"))
+    return articles, _boxes(t).join(labels, "id"), _touching(t).select(F.col("id").alias("article_id"), "ticker")
+
+
+@query(f"""WITH {_A}, {_B}, l AS (SELECT b.*, x.model AS first_label, CASE WHEN b.box_index % 3 = 2 THEN 'DROP' ELSE x.model END AS second_label FROM b JOIN article_insights x ON x.id = b.id),
+q AS (SELECT id AS sid, e AS qe, us AS sus FROM a WHERE id % 50 = 0 AND us IS NOT NULL) """ + " UNION ALL ".join(map(_box_strategy, _BOX_STRATEGIES)))
+def precedents_by_strategy(t: Tables) -> DataFrame:
+    """The box strategies side by side: corpora with and without labels, with boxes left out, and narrowed by whole articles first."""
+    articles, boxes, touching = _precedent_tables(t)
+    out = None
+    for name in _BOX_STRATEGIES:
+        found = precedents.precedents(name, articles, boxes, F.col("id") % 50 == 0, touching).select(F.lit(name).alias("strategy"), "seed_article", "id", "label", "similarity", "rank")
+        out = found if out is None else out.unionByName(found)
+    return _rounded(out)
+
+
+@query(f"""WITH {_B}, {_TOUCH}, q AS (SELECT id AS sid, primary_ticker AS tk, epoch_us(published_utc) AS sus FROM articles WHERE id % 50 = 0 AND published_utc IS NOT NULL AND primary_ticker IS NOT NULL AND {_USABLE})
+SELECT sid AS seed_article, id, CAST(k AS INTEGER) AS rank FROM (SELECT sid, b.id, row_number() OVER (PARTITION BY sid ORDER BY b.us DESC, b.article_id, b.box_index) AS k FROM q JOIN x ON x.ticker = tk JOIN b ON b.article_id = x.id WHERE b.us < sus AND b.article_id <> sid) WHERE k <= 15""")
+def precedents_of_ticker(t: Tables) -> DataFrame:
+    """The strategy that takes the newest earlier boxes about the article's own ticker."""
+    articles, boxes, touching = _precedent_tables(t)
+    return precedents.precedents("ticker-history", articles, boxes, F.col("id") % 50 == 0, touching).select("seed_article", "id", "rank")

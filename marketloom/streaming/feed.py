@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from marketloom.semantics import backoff_seconds, feed_time, market_date  # noqa: F401
+from marketloom.operators.feed import merged_articles
+from marketloom.semantics import feed_time
 
 
 def new_articles(rows: DataFrame, lookback: str = "24 hours") -> DataFrame:
@@ -18,6 +19,21 @@ def new_articles(rows: DataFrame, lookback: str = "24 hours") -> DataFrame:
     return timed.withWatermark("published", lookback).dropDuplicatesWithinWatermark(["article_url"])
 
 
+def merged_polls(rows: DataFrame, place: str, checkpoint: str) -> None:
+    """Drains a stream of feed rows; each batch is merged per address and written to a folder of its own, so that a batch that comes twice is written once."""
+
+    def poll(batch: DataFrame, number: int) -> None:
+        merged_articles(batch).select("url", "tickers", "published_utc", "publisher", "first_row").write.mode("overwrite").parquet(f"{place}/poll={number}")
+
+    drained(rows, poll, checkpoint)
+
+
+def merged_again(polls: DataFrame) -> DataFrame:
+    """One row per address of rows merged poll by poll: tickers as first seen, date and publisher of the first row."""
+    parts = polls.groupBy("url").agg(F.array_sort(F.collect_list(F.struct("first_row", "tickers"))).alias("p"), F.min_by(F.struct("published_utc", "publisher"), "first_row").alias("h"), F.min("first_row").alias("first_row"))
+    return parts.select("url", F.array_distinct(F.flatten(F.transform("p", lambda x: x["tickers"]))).alias("tickers"), "h.published_utc", "h.publisher", "first_row")
+
+
 def daily_ranges(bars: DataFrame, *, by: str, time: str, price: str, delay: str = "1 day") -> DataFrame:
     """Low, high and count per key and day of a stream of prices, closed when the watermark passes the day."""
     return bars.withWatermark(time, delay).groupBy(F.window(time, "1 day").alias("w"), by).agg(F.min(price).alias("low"), F.max(price).alias("high"), F.count("*").alias("bars")).select(by, F.col("w.start").alias("day"), "low", "high", "bars")
