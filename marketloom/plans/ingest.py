@@ -28,14 +28,14 @@ _TIME = """epoch_us(coalesce(
 WITH c AS (SELECT row_no, {_URL} AS url, upper({_TICKER}) AS symbol, nullif({_SENTIMENT}, '') AS sentiment, {_TIME} AS p, nullif({_PUBLISHER}, '') AS publisher
            FROM news_csv WHERE {_URL} <> ''),
 s AS (SELECT url, symbol, min(row_no) AS r, arg_min(struct_pack(v := sentiment), row_no).v AS sentiment FROM c WHERE symbol IS NOT NULL AND symbol <> '' GROUP BY ALL),
-a AS (SELECT url, string_agg(symbol, ',' ORDER BY r) AS tickers, count(sentiment) AS sentiments FROM s GROUP BY url),
+a AS (SELECT url, string_agg(symbol, ',' ORDER BY r) AS tickers, string_agg(symbol || '=' || sentiment, ',' ORDER BY r) FILTER (WHERE sentiment IS NOT NULL) AS sentiments FROM s GROUP BY url),
 h AS (SELECT url, min(row_no) AS first_row, arg_min(struct_pack(v := p), row_no).v AS published_us, arg_min(struct_pack(v := publisher), row_no).v AS publisher FROM c GROUP BY url)
-SELECT h.url, coalesce(tickers, '') AS tickers, published_us, publisher, coalesce(sentiments, 0) AS sentiments, first_row FROM h LEFT JOIN a USING (url)
+SELECT h.url, coalesce(tickers, '') AS tickers, published_us, publisher, coalesce(sentiments, '') AS sentiments, first_row FROM h LEFT JOIN a USING (url)
 """)
 def feed_merge_by_url(t: Tables) -> DataFrame:
     """One article per address: tickers as first seen, date and publisher of the first row, sentiments of the tickers' first rows."""
     m = feed.merged_articles(t.news_csv)
-    return m.select("url", F.array_join("tickers", ",").alias("tickers"), F.unix_micros("published_utc").alias("published_us"), "publisher", F.coalesce(F.size("sentiments"), F.lit(0)).alias("sentiments"), "first_row")
+    return m.select("url", F.array_join("tickers", ",").alias("tickers"), F.unix_micros("published_utc").alias("published_us"), "publisher", F.coalesce(F.array_join(F.transform(F.map_entries("sentiments"), lambda x: F.concat(x["key"], F.lit("="), x["value"]["sentiment"])), ","), F.lit("")).alias("sentiments"), "first_row")
 
 
 @query(f"""
@@ -236,11 +236,11 @@ WITH l AS (SELECT id, string_split(box_text, chr(10)) AS x FROM article_insights
 p AS (SELECT id, x, list_position([starts_with(y, 'QUOTES:') FOR y IN x], true) AS pos FROM l)
 SELECT id, (SELECT trim(substr(y, 7)) FROM (SELECT unnest(x) AS y) WHERE starts_with(y, 'TOPIC:') LIMIT 1) AS topic,
        (SELECT trim(substr(y, 9)) FROM (SELECT unnest(x) AS y) WHERE starts_with(y, 'INSIGHT:') LIMIT 1) AS insight,
-       CAST(CASE WHEN pos IS NULL OR pos = 0 THEN 0 ELSE len([y FOR y IN x[pos + 1:] IF trim(y) <> '']) END AS INTEGER) AS quotes FROM p
+       CASE WHEN pos IS NULL OR pos = 0 THEN '' ELSE array_to_string([rtrim(y) FOR y IN x[pos + 1:] IF trim(y) <> ''], chr(10)) END AS quotes FROM p
 """)
 def box_parse(t: Tables) -> DataFrame:
     parts = text.box_parts(F.col("box_text"))
-    return t.article_insights.select("id", parts["topic"].alias("topic"), parts["insight"].alias("insight"), F.size(parts["quotes"]).alias("quotes"))
+    return t.article_insights.select("id", parts["topic"].alias("topic"), parts["insight"].alias("insight"), F.array_join(parts["quotes"], "\n").alias("quotes"))
 
 
 @query("""SELECT id, list_distinct([upper(trim(x)) FOR x IN tickers IF trim(x) <> '']) IS NOT NULL AND list_has_any([upper(trim(x)) FOR x IN tickers IF x IS NOT NULL], (SELECT list(ticker) FROM ticker_data WHERE segment = 'Cloud')) AS hit FROM articles WHERE tickers IS NOT NULL""")
@@ -254,13 +254,13 @@ def array_overlap_filter(t: Tables) -> DataFrame:
 @query("""
 WITH x AS (SELECT id, [upper(trim(y)) FOR y IN tickers IF trim(y) <> ''] AS a FROM articles),
 d AS (SELECT id, a[1] AS primary_ticker, [y FOR y IN a[2:] IF y <> a[1]] AS more FROM x)
-SELECT id, primary_ticker, CASE WHEN len(more) > 0 THEN len(list_distinct(more)) END AS n_more FROM d
+SELECT id, primary_ticker, CASE WHEN len(more) > 0 THEN array_to_string([more[i] FOR i IN range(1, len(more) + 1) IF list_position(more, more[i]) = i], ',') END AS more FROM d
 """)
 def derive_tags_from_array(t: Tables) -> DataFrame:
     a = F.filter(F.transform("tickers", lambda x: F.upper(stripped(x))), lambda x: x.isNotNull() & (x != ""))
     rows = t.articles.select("id", a.alias("a")).withColumn("primary_ticker", F.get("a", F.lit(0)))
     more = array_or_null(F.array_distinct(F.filter(F.slice("a", F.lit(2), F.greatest(F.size("a"), F.lit(1))), lambda x: x != F.col("primary_ticker"))))
-    return rows.select("id", "primary_ticker", F.when(more.isNotNull(), F.size(more)).alias("n_more"))
+    return rows.select("id", "primary_ticker", F.array_join(more, ",").alias("more"))
 
 
 @query("""SELECT id, k AS ticker, v.sentiment AS sentiment FROM (SELECT id, unnest(map_keys(provider_sentiments)) AS k, unnest(map_values(provider_sentiments)) AS v FROM articles)""")

@@ -61,7 +61,7 @@ def stream_sessions(t: Tables) -> DataFrame:
     return out.filter("user_id IS NOT NULL").select("user_id", F.unix_micros("start").alias("start_us"), F.unix_micros("end").alias("end_us"), "events")
 
 
-@query(ORACLE_SQL["feed_merge_by_url"].replace("coalesce(tickers, '') AS tickers, published_us, publisher, coalesce(sentiments, 0) AS sentiments, first_row", "coalesce(tickers, '') AS tickers, first_row"))
+@query(ORACLE_SQL["feed_merge_by_url"].replace("coalesce(tickers, '') AS tickers, published_us, publisher, coalesce(sentiments, '') AS sentiments, first_row", "coalesce(tickers, '') AS tickers, first_row"))
 def stream_merged_articles(t: Tables) -> DataFrame:
     """Tickers merged per address within each poll, and the polls' rows merged again: no ticker of an address is lost."""
     place = f"{shared_folder(t.spark)}/polls-{uuid.uuid4().hex}"
