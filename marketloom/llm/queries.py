@@ -46,7 +46,7 @@ def p2_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = None
     for name in ("articles", "article_insights"):
-        pairs = similar.close_pairs(table(spark, sf_dir, name), min_similarity=0.85).select(F.lit(name).alias("table_name"), "id_a", "id_b")
+        pairs = similar.close_pairs(table(spark, sf_dir, name), min_similarity=0.85, target_recall=0.999).select(F.lit(name).alias("table_name"), "id_a", "id_b")
         found = pairs if found is None else found.unionByName(pairs)
     return found
 
@@ -65,7 +65,7 @@ def p3_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the calibrated index of either table reaches on queries that took no part in its calibration, against brute force over all rows."""
     rows = []
     for name in ("articles", "article_insights"):
-        for search, options in (("close", {"min_similarity": 0.85, "target_recall": 0.99}), ("neighbours", {"target_recall": 0.92, "queries": F.col("id") % 50 == 0})):
+        for search, options in (("close", {"min_similarity": 0.85, "target_recall": 0.999}), ("neighbours", {"target_recall": 0.92, "queries": F.col("id") % 50 == 0})):
             index = similar.index_of(table(spark, sf_dir, name), k=5, **options)
             if index:
                 rows.append((name, search, index.rows, index.tree.leaves, index.visits, index.queries, index.recall))
@@ -167,7 +167,31 @@ pairs AS (
 )
 """
 
+# an address reduced to a key: case, white space, punctuation, escapes, scheme, www., fragment, order of fields, empty and tracking fields don't count
+_ADDRESSES = r"""
+raw AS (SELECT id, CASE WHEN regexp_matches(coalesce(url_canonical, ''), '^[\s\x{00A0}]*$') THEN url ELSE url_canonical END AS u FROM articles),
+bare AS (SELECT id, u, regexp_replace(lower(regexp_replace(split_part(regexp_replace(u, '[\s\x{00A0}]+', '', 'g'), '#', 1), '^[^\pL\pN]+', '')), '^(?:[a-z][a-z0-9+.\-]*:)?/*(?:www\.)?', '') AS b FROM raw),
+cut AS (SELECT id, u, split_part(b, '?', 1) AS place, regexp_replace(b, '^[^?]*\??', '') AS query FROM bare),
+decoded AS (SELECT id, u, regexp_replace(lower(url_decode(url_decode(replace(place, '+', '%2B')))), '[^\pL\pN\pM]+', '', 'g') AS place,
+  [struct_pack(k := regexp_replace(lower(url_decode(url_decode(split_part(f, '=', 1)))), '[^\pL\pN\pM_]+', '', 'g'), v := regexp_replace(lower(url_decode(url_decode(regexp_replace(f, '^[^=]*=?', '')))), '[^\pL\pN\pM]+', '', 'g')) FOR f IN regexp_split_to_array(query, '[&;]')] AS fields FROM cut),
+keys AS (SELECT id, CASE WHEN regexp_matches(coalesce(u, ''), '^[\s\x{00A0}]*$') THEN chr(1) || id ELSE place || '?' || array_to_string(list_sort([regexp_replace(f.k, '_', '', 'g') || '=' || f.v FOR f IN fields
+  IF f.v <> '' AND f.k NOT IN ('source', 'ref', 'fbclid', 'gclid', 'mc_cid', 'mc_eid', 'yptr') AND NOT starts_with(f.k, 'utm_')]), '&') END AS key FROM decoded)
+"""
+_CLOSE = """
+SELECT '{table}' AS table_name, id_a, id_b FROM (
+  SELECT least(a, b) AS id_a, greatest(a, b) AS id_b FROM (
+    SELECT x.id AS a, y.id AS b, round(list_cosine_similarity(x.e, y.e), 9) AS s, row_number() OVER (PARTITION BY x.id ORDER BY round(list_cosine_similarity(x.e, y.e), 9) DESC, y.id) AS k
+    FROM {table}_v x JOIN {table}_v y ON x.id <> y.id) WHERE k <= 5 AND s >= 0.85 GROUP BY 1, 2)
+"""
+_VECTORS = ", ".join(f"{x}_v AS (SELECT id, embedding::DOUBLE[] AS e FROM {x} WHERE embedding IS NOT NULL AND len(embedding) > 0 AND list_max([abs(y) FOR y IN embedding]) > 0)" for x in ("articles", "article_insights"))
+
 ORACLE_SQL: dict[str, str] = {
+    "p2_clean": f"""WITH {_LINES}, found AS (SELECT l.id, l.line_no FROM lines l JOIN covering c ON c.source_domain IS NOT DISTINCT FROM l.source_domain AND c.t = l.t),
+      g AS (SELECT id, list(line_no) AS gone FROM found GROUP BY id), x AS (SELECT a.id, string_split(content, chr(10)) AS parts, coalesce(gone, []) AS gone FROM articles a LEFT JOIN g USING (id))
+      SELECT id, array_to_string([parts[i] FOR i IN range(1, len(parts) + 1) IF NOT list_contains(gone, i)], chr(10)) AS clean, CAST(len(gone) AS INTEGER) AS removed FROM x""",
+    "p3_found": f"WITH {_VECTORS} {_CLOSE.format(table='articles')} UNION ALL {_CLOSE.format(table='article_insights')}",
+    "p7_found": f"WITH {_ADDRESSES} SELECT a.id AS id_a, b.id AS id_b FROM keys a JOIN keys b ON a.key = b.key AND a.id < b.id",
+    "p7_groups": f"WITH {_ADDRESSES} SELECT min(id) AS id, count(*) AS copies FROM keys GROUP BY key",
     "p2_found": f"WITH {_LINES} SELECT l.id, CAST(l.line_no AS INTEGER) AS line_no FROM lines l JOIN covering c ON c.source_domain IS NOT DISTINCT FROM l.source_domain AND c.t = l.t",
     "p6_found": f"WITH {_BASKETS} SELECT ticker_a, ticker_b FROM pairs WHERE n_ab >= 5 AND n_ab * n_records >= 3 * n_a * n_b",
     "p6_pairs": f"WITH {_BASKETS} SELECT * FROM pairs",
