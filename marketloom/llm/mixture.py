@@ -56,8 +56,15 @@ def uses(tokens: DataFrame, rated: DataFrame, *, id_col: str = "doc_id", seed: i
 
 
 def shares(used: DataFrame, rated: DataFrame) -> DataFrame:
-    """(source, target_share, max_repeats, tokens, rate, used_tokens, actual_share): the report."""
-    sums = used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("used_tokens"))
+    """(source, target_share, max_repeats, tokens, rate, used_tokens, actual_share, expected_share, standard_error): the report.
+
+    `expected_share` is what the rates give on average, `standard_error` how far the draws of whole documents usually take the actual share from it.
+    """
+    size = F.col("n_tokens").cast("double")
+    sums = used.groupBy("source").agg(F.sum(F.col("n_tokens") * F.col("uses")).alias("used_tokens"), F.sum(size * size).alias("_squares"))
     joined = rated.join(sums, "source", "left").withColumn("used_tokens", F.coalesce("used_tokens", F.lit(0)))
-    total = joined.agg(F.sum("used_tokens").alias("_total"))
-    return joined.crossJoin(F.broadcast(total)).select("source", "target_share", "max_repeats", "tokens", "rate", "used_tokens", F.when(F.col("_total") > 0, F.col("used_tokens") / F.col("_total")).otherwise(0.0).alias("actual_share"))
+    total = joined.agg(F.sum("used_tokens").alias("_total"), F.sum(F.col("rate") * F.col("tokens")).alias("_expected"))
+    part = F.col("rate") - F.floor("rate")
+    of = lambda c, whole: F.when(F.col(whole) > 0, c / F.col(whole)).otherwise(0.0)
+    report = joined.crossJoin(F.broadcast(total))  # one row
+    return report.select("source", "target_share", "max_repeats", "tokens", "rate", "used_tokens", of(F.col("used_tokens"), "_total").alias("actual_share"), of(F.col("rate") * F.col("tokens"), "_expected").alias("expected_share"), of(F.sqrt(part * (1 - part) * F.coalesce("_squares", F.lit(0.0))), "_expected").alias("standard_error"))

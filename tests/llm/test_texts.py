@@ -72,6 +72,8 @@ def test_shares_are_met_as_far_as_repeats_allow(spark):
     report, used = _mix(spark, docs, [("big", 0.75, 2), ("small", 0.2, 4), ("gone", 0.05, 9)])
     assert abs(report["big"].actual_share - 0.75 / 0.95) < 0.02 and abs(report["small"].actual_share - 0.2 / 0.95) < 0.02
     assert report["gone"].actual_share == 0.0 and report["small"].rate == 4.0
+    for r in report.values():
+        assert abs(r.expected_share - r.actual_share) <= 4 * r.standard_error + 0.02 and (r.standard_error > 0 or r.rate == int(r.rate))
     assert used.filter("source = 'small'").agg({"uses": "max"}).first()[0] == 4
     assert used.filter("source IS NULL OR source = 'unlisted'").agg({"uses": "sum"}).first()[0] == 0
     assert used.count() == len(docs)
