@@ -14,9 +14,6 @@ from pyspark.sql import functions as F
 from marketloom.functions.vectors import nearest
 from marketloom.operators.retrieval import box_hits
 
-ALL = 1 << 30
-
-
 @dataclass(frozen=True)
 class Strategy:
     """`what` is articles, boxes, newest or ticker; `label` a column of the boxes that is handed on; boxes labelled `leave_out` are no candidates (unlabelled ones are)."""
@@ -43,13 +40,6 @@ STRATEGIES = {
 }
 
 
-def cosine(a: str, b: str) -> Column:
-    """Cosine of two vector columns, in the JVM."""
-    dot = F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
-    size = lambda v: F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    return F.round(dot / size(a) / size(b), 9)
-
-
 def _best(hits: DataFrame, limit: int) -> DataFrame:
     """The `limit` best of (seed_article, id, similarity), each id once at its best."""
     best = hits.groupBy("seed_article", "id").agg(F.max("similarity").alias("similarity"))
@@ -57,6 +47,23 @@ def _best(hits: DataFrame, limit: int) -> DataFrame:
     return best.withColumn("rank", rank).filter(F.col("rank") <= limit)
 
 
+def seed_boxes(asking: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(seed_id, vector, article_id, us): the boxes of the asking articles."""
+    return boxes.join(asking.select(F.col("id").alias("article_id")), "article_id", "left_semi").select(F.col("id").alias("seed_id"), "vector", "article_id", "us")
+
+
+def own_ticker_seeds(asking: DataFrame, boxes: DataFrame) -> DataFrame:
+    """(seed_id, vector, article_id, us, ticker): the boxes of the asking articles that have a primary ticker, the ticker as a hash."""
+    own = asking.filter(F.col("primary_ticker").isNotNull()).select(F.col("id").alias("article_id"), F.xxhash64("primary_ticker").alias("ticker"))
+    return boxes.select(F.col("id").alias("seed_id"), "vector", "article_id", "us").join(own, "article_id")
+
+
+def of_ticker(seeds: DataFrame, touching: DataFrame, boxes: DataFrame, k: int) -> DataFrame:
+    """(seed_id, id, similarity, rank): earlier boxes about the seed's ticker. The ticker is a condition on pairs of a block, not a join key, so a hot ticker is no hot key."""
+    corpus = touching.select("article_id", F.xxhash64("ticker").alias("ticker")).join(boxes.select("id", "vector", "article_id", "us"), "article_id")
+    return nearest(seeds, corpus.select("id", "vector", "article_id", "us", "ticker"), k, keep=lambda s, c: (s["ticker"] == c["ticker"]) & (c["us"] < s["us"]) & (s["article_id"] != c["article_id"]))
+
+
 def precedents(name: str, articles: DataFrame, boxes: DataFrame, seeds: Column, touching: DataFrame | None = None) -> DataFrame:
     """(seed_article, id, label, similarity, rank) of every article that `seeds`, a condition on id, selects; id is an article's or a box's, by the strategy.
 
@@ -72,23 +79,23 @@ def precedents(name: str, articles: DataFrame, boxes: DataFrame, seeds: Column,
         found = nearest(asking.select(F.col("id").alias("seed_id"), "vector", "us"), articles.select("id", "vector", "us"), s.limit, floor=s.floor, keep=lambda a, c: c["us"] < a["us"])
         return found.select(F.col("seed_id").alias("seed_article"), "id", no_label, "similarity", "rank")
     pool = boxes if s.leave_out is None else boxes.filter(~F.col(s.label).eqNullSafe(F.lit(s.leave_out)))
-    if s.what in ("newest", "ticker"):
+    if s.what == "newest":
         own = asking.filter(F.col("primary_ticker").isNotNull()).select(F.col("id").alias("seed_article"), F.col("primary_ticker").alias("ticker"), F.col("us").alias("until"))
-        near = touching.join(own, "ticker").join(pool, "article_id").filter((F.col("us") < F.col("until")) & (F.col("article_id") != F.col("seed_article")))
-        if s.what == "newest":
-            rank = F.row_number().over(Window.partitionBy("seed_article").orderBy(F.desc("us"), "article_id", "box_index"))
-            return near.withColumn("rank", rank).filter(F.col("rank") <= s.limit).select("seed_article", "id", no_label, F.lit(None).cast("double").alias("similarity"), "rank")
-        mine = boxes.select(F.col("article_id").alias("seed_article"), F.col("vector").alias("own"))
-        hits = near.join(mine, "seed_article").select("seed_article", "id", cosine("vector", "own").alias("similarity"))
+        near = touching.join(own, "ticker").join(pool.select("id", "article_id", "box_index", "us"), "article_id").filter((F.col("us") < F.col("until")) & (F.col("article_id") != F.col("seed_article")))
+        rank = F.row_number().over(Window.partitionBy("seed_article").orderBy(F.desc("us"), "article_id", "box_index"))
+        return near.withColumn("rank", rank).filter(F.col("rank") <= s.limit).select("seed_article", "id", no_label, F.lit(None).cast("double").alias("similarity"), "rank")
+    whole = articles.select(F.col("id").alias("article_id"), F.col("vector").alias("gate"))
+    if s.what == "ticker":
+        mine = own_ticker_seeds(asking, boxes)
+        found = of_ticker(mine, touching, pool, s.limit)
     elif s.article_floor is not None:
-        near = nearest(asking.select(F.col("id").alias("seed_id"), "vector", "us"), articles.select("id", "vector", "us"), ALL, floor=s.article_floor, keep=lambda a, c: c["us"] < a["us"])
-        near = near.select(F.col("seed_id").alias("seed_article"), F.col("id").alias("article_id")).filter(F.col("seed_article") != F.col("article_id"))
-        mine = pool.select(F.col("article_id").alias("seed_article"), F.col("vector").alias("own"))
-        hits = near.join(pool, "article_id").join(mine, "seed_article").select("seed_article", "id", cosine("vector", "own").alias("similarity")).filter(F.col("similarity") > s.floor)
+        mine = seed_boxes(asking, pool).join(whole, "article_id")
+        corpus = pool.join(whole, "article_id").select("id", "vector", "gate", "article_id", "us")
+        found = nearest(mine, corpus, s.limit, floor=s.floor, keep=lambda a, c: c["us"] < a["us"], gate_floor=s.article_floor)
     else:
-        mine = pool.join(asking.select(F.col("id").alias("article_id")), "article_id", "left_semi").select(F.col("id").alias("seed_id"), "vector", "article_id", "us")
+        mine = seed_boxes(asking, pool)
         found = box_hits(mine, pool.select("id", "vector", "article_id", "us"), k=s.limit, floor=s.floor)
-        hits = found.join(mine.select("seed_id", F.col("article_id").alias("seed_article")), "seed_id").select("seed_article", "id", "similarity")
+    hits = found.join(mine.select("seed_id", F.col("article_id").alias("seed_article")), "seed_id").select("seed_article", "id", "similarity")
     best = _best(hits, s.limit)
     if s.label is None:
         return best.select("seed_article", "id", no_label, "similarity", "rank")

@@ -177,20 +177,13 @@ n AS (SELECT sid, a.id FROM a, q WHERE a.id <> sid AND a.us < sus AND round(list
 x AS (SELECT q.sid, b2.id AS seed_id, b2.e AS se FROM q JOIN b b2 ON b2.article_id = q.sid)
 SELECT x.sid AS seed_article, b.id, round(max(list_cosine_similarity(b.e, x.se)), 6) AS similarity FROM x JOIN n ON n.sid = x.sid JOIN b ON b.article_id = n.id WHERE list_cosine_similarity(b.e, x.se) > 0.35 GROUP BY x.sid, b.id""")
 def precedents_hybrid(t: Tables) -> DataFrame:
-    """A funnel: articles within a wide neighbourhood first, then only their boxes, each at its best similarity.
-
-    The neighbourhood is a top-k with k = all, so nothing near is cut; the boxes are joined on the article, not searched again.
-    """
-    rows = retrieval.usable(t.articles).filter(F.col("published_utc").isNotNull()).select("id", F.col("embedding").alias("vector"), F.unix_micros("published_utc").alias("us"))
-    seeds = rows.filter("id % 50 = 0").select(F.col("id").alias("seed_id"), "vector", "us")
-    near = nearest(seeds, rows, 1 << 30, floor=0.3, keep=lambda s, c: c["us"] < s["us"]).select(F.col("seed_id").alias("seed_article"), F.col("id").alias("article_id"))
-    boxes = _boxes(t)
-    mine = boxes.join(near.select("seed_article").distinct(), F.col("article_id") == F.col("seed_article"), "left_semi").select(F.col("article_id").alias("seed_article"), F.col("vector").alias("sv"))
-    pairs = near.join(boxes.select("id", "article_id", "vector"), "article_id").join(mine, "seed_article")
-    dot = F.aggregate(F.zip_with("vector", "sv", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    size = lambda v: F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    scored = pairs.select("seed_article", "id", F.round(dot / size("vector") / size("sv"), 9).alias("similarity")).filter("similarity > 0.35")
-    return _rounded(scored.groupBy("seed_article", "id").agg(F.max("similarity").alias("similarity")))
+    """A funnel: boxes of articles within a wide neighbourhood, each at its best similarity, nothing near cut. Either similarity is one product of blocks in the same pass."""
+    rows = retrieval.usable(t.articles).filter(F.col("published_utc").isNotNull()).select(F.col("id").alias("article_id"), F.col("embedding").alias("gate"))
+    boxes = _boxes(t).join(rows, "article_id")
+    seeds = boxes.filter("article_id % 50 = 0").withColumnRenamed("id", "seed_id")
+    found = nearest(seeds, boxes.select("id", "vector", "gate", "us"), 1 << 30, floor=0.35, keep=lambda s, c: c["us"] < s["us"], gate_floor=0.3)
+    hits = found.join(seeds.select("seed_id", F.col("article_id").alias("seed_article")), "seed_id")
+    return _rounded(hits.groupBy("seed_article", "id").agg(F.max("similarity").alias("similarity")))
 
 
 _TOUCH = "x AS (SELECT id, published_utc, unnest(list_distinct([y FOR y IN list_concat([primary_ticker], coalesce(more_tickers, [])) IF y IS NOT NULL])) AS ticker FROM articles WHERE published_utc IS NOT NULL)"
@@ -218,14 +211,11 @@ h AS (SELECT sid, b.id, max(round(list_cosine_similarity(b.e, se), 9)) AS simila
 SELECT sid AS seed_article, id, round(similarity, 6) AS similarity FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY similarity DESC, id) AS k FROM h) WHERE k <= 20""")
 def ticker_relevant(t: Tables) -> DataFrame:
     """The 20 boxes about the article's own ticker that are most similar to its boxes."""
-    q = t.articles.filter("id % 50 = 0 AND published_utc IS NOT NULL AND primary_ticker IS NOT NULL").select(F.col("id").alias("seed_article"), F.col("primary_ticker").alias("ticker"), F.unix_micros("published_utc").alias("sus"))
+    asking = t.articles.filter("id % 50 = 0 AND published_utc IS NOT NULL").select("id", "primary_ticker")
     boxes = _boxes(t)
-    mine = boxes.join(q, F.col("article_id") == F.col("seed_article")).select("seed_article", "ticker", "sus", F.col("vector").alias("sv"))
-    pool = _touching(t).select(F.col("id").alias("article_id"), "ticker").join(boxes, "article_id")
-    pairs = mine.join(pool, "ticker").filter((F.col("article_id") != F.col("seed_article")) & (F.col("us") < F.col("sus")))
-    dot = F.aggregate(F.zip_with("vector", "sv", lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda a, x: a + x)
-    size = lambda v: F.sqrt(F.aggregate(F.col(v), F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double")))
-    best = pairs.select("seed_article", "id", F.round(dot / size("vector") / size("sv"), 9).alias("similarity")).groupBy("seed_article", "id").agg(F.max("similarity").alias("similarity"))
+    seeds = precedents.own_ticker_seeds(asking, boxes)
+    found = precedents.of_ticker(seeds, _touching(t).select(F.col("id").alias("article_id"), "ticker"), boxes, 20)
+    best = found.join(seeds.select("seed_id", F.col("article_id").alias("seed_article")), "seed_id").groupBy("seed_article", "id").agg(F.max("similarity").alias("similarity"))
     rank = F.row_number().over(Window.partitionBy("seed_article").orderBy(F.desc("similarity"), "id"))
     return _rounded(best.withColumn("k", rank).filter("k <= 20").select("seed_article", "id", "similarity"))
 
