@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketloom.operators import metrics
 from marketloom.plans.registry import Tables, query
+from marketloom.providers import collapsed_labels
 from marketloom.semantics import bucketed, stripped
 
 _SAID = "v AS (SELECT s.article_id, a.is_act AS truth, CASE WHEN s.confidence < 0.6 THEN NULL ELSE s.action <> 'hold' END AS said FROM article_sentiment s JOIN articles a ON a.id = s.article_id WHERE a.is_act IS NOT NULL)"
@@ -99,3 +100,28 @@ def verdict_summary(t: Tables) -> DataFrame:
 @query("""SELECT coalesce(is_act, category = 'macro news') AS acts, count(*) AS n FROM articles GROUP BY 1""")
 def three_valued_flag(t: Tables) -> DataFrame:
     return t.articles.groupBy(F.coalesce("is_act", F.col("category") == "macro news").alias("acts")).agg(F.count("*").alias("n"))
+
+
+@query("""
+SELECT CASE WHEN trim(coalesce(category, '')) = '' THEN NULL WHEN lower(trim(category)) IN ('earnings report', 'contract win', 'product launch') THEN 'act' WHEN lower(trim(category)) IN ('macro news', 'market commentary') THEN 'skip' ELSE 'other' END AS label_group, count(*) AS n, count(DISTINCT category) AS labels
+FROM articles GROUP BY 1
+""")
+def label_collapse(t: Tables) -> DataFrame:
+    """Fine labels collapsed to groups."""
+    group = collapsed_labels(F.col("category"), {"act": ("earnings report", "contract win", "product launch"), "skip": ("macro news", "market commentary")})
+    return t.articles.groupBy(group.alias("label_group")).agg(F.count("*").alias("n"), F.countDistinct("category").alias("labels"))
+
+
+@query("""
+SELECT s.model, count(*) AS items, count(s.action) AS answered, avg(CAST((s.action <> 'hold') = a.is_act AS INTEGER)) AS act_accuracy, avg(CASE WHEN s.action <> 'hold' THEN CAST(s.confidence AS DOUBLE) END) AS mean_confidence_of_acts,
+  CAST(sum(coalesce(length(s.reasoning), 0) + coalesce(length(s.analyses), 0)) AS BIGINT) AS chars_out, avg(date_diff('second', a.published_utc, s.created_at)) AS mean_seconds
+FROM article_sentiment s JOIN articles a ON a.id = s.article_id GROUP BY s.model
+""")
+def evaluation_totals(t: Tables) -> DataFrame:
+    """Totals of a run per model: items, answers, accuracy of the derived decision, confidence where it acts, size of the output, time from publication to answer."""
+    a = t.articles.select(F.col("id").alias("article_id"), "is_act", "published_utc")
+    acts = F.col("action") != "hold"
+    return t.article_sentiment.join(a, "article_id").groupBy("model").agg(
+        F.count("*").alias("items"), F.count("action").alias("answered"), F.avg((acts == F.col("is_act")).cast("int")).alias("act_accuracy"), F.avg(F.when(acts, F.col("confidence").cast("double"))).alias("mean_confidence_of_acts"),
+        F.sum(F.coalesce(F.length("reasoning"), F.lit(0)) + F.coalesce(F.length("analyses"), F.lit(0))).alias("chars_out"), F.avg(F.unix_seconds("created_at") - F.unix_seconds("published_utc")).alias("mean_seconds"),
+    )

@@ -9,7 +9,8 @@ from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 
 class Embedder(Protocol):
@@ -48,6 +49,15 @@ class KeywordClassifier:
         return [next((label for label, p in self.rules if p.search(t)), self.other) for t in texts]
 
 
+def collapsed_labels(label: Column, groups: dict[str, tuple[str, ...]], other: str = "other") -> Column:
+    """A fine label as the group that lists it, whatever its case and outer blanks; `other` for a label of no group, null for none."""
+    bare = F.lower(F.trim(label))
+    out = F.when(bare.isNull() | (bare == ""), F.lit(None).cast("string"))
+    for group, labels in groups.items():
+        out = out.when(bare.isin(*[x.lower() for x in labels]), group)
+    return out.otherwise(other)
+
+
 def embedded(df: DataFrame, embedder: Embedder, *, id_col: str, text_col: str, batch: int = 256) -> DataFrame:
     """(id, embedding) of the rows with a text; blank texts have none. Filter before: the provider is asked for every row given."""
 

@@ -26,6 +26,26 @@ class JsonFolder:
             return sorted((a for a in json.load(file) if a["published_utc"] > since), key=lambda a: a["published_utc"])
 
 
+def all_pages(fetch_page: Callable[[str, str, str | None], tuple[list[dict], str | None]], most: int = 1000) -> Callable[[str, str], list[dict]]:
+    """A fetch function over one that gives a page and the cursor of the next (null after the last).
+
+    An article on two pages comes once. A feed whose cursors don't end within `most` pages is an error, so that its ticker keeps its cursor.
+    """
+
+    def fetch(ticker: str, since: str) -> list[dict]:
+        found: dict[str, dict] = {}
+        cursor: str | None = None
+        for _ in range(most):
+            articles, cursor = fetch_page(ticker, since, cursor)
+            for a in articles:
+                found.setdefault(a["article_url"], a)
+            if cursor is None:
+                return sorted(found.values(), key=lambda a: a["published_utc"])
+        raise ValueError(f"{ticker}: more than {most} pages")
+
+    return fetch
+
+
 class PolledReader(SimpleDataSourceStreamReader):
     def __init__(self, tickers: list[str], start: str, fetch: Callable[[str, str], list[dict]]) -> None:
         self.tickers, self.start, self.fetch = tickers, start, fetch

@@ -116,6 +116,14 @@ def test_polled_feed_keeps_the_cursor_of_failed_tickers(tmp_path):
     assert len(list(reader.readBetweenOffsets(start, {"A": "2025-01-01", "B": ""}))) == 1
 
 
+def test_pages_are_followed_to_the_last():
+    pages_ = {None: ([{"article_url": "u2", "published_utc": "2025-01-02"}], "x"), "x": ([{"article_url": "u1", "published_utc": "2025-01-01"}, {"article_url": "u2", "published_utc": "2025-01-02"}], None)}
+    fetch = polled.all_pages(lambda ticker, since, cursor: pages_[cursor])
+    assert [a["article_url"] for a in fetch("A", "")] == ["u1", "u2"]
+    endless = polled.PolledReader(["A"], "s", polled.all_pages(lambda ticker, since, cursor: ([{"article_url": "u", "published_utc": "t"}], "again"), most=3))
+    assert list(endless.read(endless.initialOffset())[0]) == [] and endless.read({"A": "s"})[1] == {"A": "s"}
+
+
 def test_polled_feed_as_a_stream(spark, tmp_path):
     (tmp_path / "A.json").write_text(json.dumps([{"article_url": "u1", "published_utc": "2025-01-01T00:00:00Z"}]))
     spark.dataSource.register(polled.PolledFeed)
