@@ -51,6 +51,27 @@ def test_templates_of_merged_trees(spark):
     assert [repeated_lines.covering_leaves(repeated_lines.grown(df, depth=d), 4).count() for d in (2, 4)] == [3, 2]
 
 
+def test_templates_show_every_line_of_their_leaf_in_any_partitioning(spark, monkeypatch):
+    """Tasks that see a leaf once, several lines of a leaf in one document, a token that looks like a slot, and leaves joined by a shuffle."""
+    docs = [(i, "s" if i % 2 else None, f"read our letter now {'daily' if i < 7 else 'weekly'} on {i}\nread our letter now {'on' if i == 2 else 'by'} monday {i}\nthe end of {chr(97 + i)}\nsee the sign of <*> here") for i in range(8)]
+    lines = defaultdict(lambda: (set(), set()))
+    for i, s, c in docs:
+        for t in (naive_template(x).split(" ") for x in c.split("\n")):
+            leaf = lines[s, len(t), *("<*>" if "0" in x else x for x in t[:4])]
+            leaf[0].add(i), leaf[1].add(tuple(t))
+    met = [(key[0], [x[0] if len(set(x)) == 1 else None for x in zip(*forms)], len(ids)) for key, (ids, forms) in lines.items() if len(ids) >= 4]
+    want = sorted(((s or "", " ".join("<*>" if x is None else x for x in t), t.count(None), n) for s, t, n in met))
+    assert len(want) == 4 and want[0][1:] == ("read our letter now <*> <*> 0", 2, 4)
+    df = spark.createDataFrame(docs, "id int, source_domain string, content string")
+    got = lambda x: sorted((r.source or "", r.template, r.slots, r.docs) for r in repeated_lines.templates(x).collect())
+    assert got(df.coalesce(1)) == want
+    alone = spark.createDataFrame(spark.sparkContext.parallelize(docs, len(docs)), df.schema)
+    assert got(alone) == want
+    monkeypatch.setattr(repeated_lines, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(repeated_lines, "MAX_LEAVES", 1)
+    assert got(alone) == want and got(df.coalesce(1)) == want
+
+
 def test_equal_lines_in_one_document_count_once(spark):
     df = spark.createDataFrame([(i, "s", "a\na\na\na\na") for i in range(3)], "id int, source_domain string, content string")
     assert repeated_lines.find_repeated_lines(df).count() == 0
