@@ -7,12 +7,13 @@ where the checksum is weak (one digit) a label nearby as well.
 
 Names are proposed from a lexicon of given and family names that is learnt in three passes over all documents. Bylines and name fields
 (`SEEDS`) give the first names. The words around these names elsewhere are counted: contexts that stand around at least `MIN_DISTINCT`
-different known names are candidates (the `MAX_CONTEXTS` with most names). Then all name-shaped words in candidate contexts are counted: contexts in which at
+different known names are candidates. Then all name-shaped words in candidate contexts are counted: contexts in which at
 least `MIN_KNOWN` of the occurrences are known names are kept, and the other names in them join the lexicon. So contexts are those of the corpus
 at hand, in any language. A family name seen fewer than `MIN_NAMES` times scores less, so that it gives way to one seen often. A seed or kept context also
 proposes the name that stands in it. All documents are then searched whole.
 
-The lexicon is broadcast: a row per distinct given or family name; more than `MAX_LEXICON` are refused rather than cut.
+The lexicon is broadcast: a row per distinct given or family name; more than `MAX_LEXICON` are refused rather than cut. Contexts are
+broadcast with it while they are at most `HELD_CONTEXTS`; more are joined by a shuffle with the contexts that stand in each text, so that none is left out.
 
 Defined results: null and empty texts have no pieces and come out as they are; a piece that occurs several times is listed once per
 text and replaced everywhere it was found; texts of any length are read whole; repeated rows are treated alike; an empty table
@@ -32,14 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.session import checkpointed
+from marketloom.session import checkpointed, counted_small
 
 MIN_NAMES = 2
 THRESHOLD = 1.0
 RARE = 0.3  # what a family name seen fewer than `MIN_NAMES` times scores less
 MIN_DISTINCT = 5
 MIN_KNOWN = 0.9
-MAX_CONTEXTS = 2000
+HELD_CONTEXTS = 100_000  # contexts a worker holds; more are joined by a shuffle
 MAX_LEXICON = 2_000_000
 
 # --- checksums ---------------------------------------------------------------------------------------------------------
@@ -332,25 +333,25 @@ class Contexts(frozenset):
 
     @cached_property
     def sides(self) -> frozenset[str]:
-        halves = (c.split(" _ ") for c in self)
+        halves = (c.rsplit(" _ ", 1) for c in self)
         return frozenset(left[-1] + right[:1] for left, right in halves)
 
 
 def _side(text: str, place: int) -> str:
     c = text[place : place + 1]
-    return "" if c == "\n" else c.lower()
+    return "" if c.isspace() else c.lower()
 
 
-def in_contexts(text: str, contexts: Contexts) -> Iterator[tuple[int, int, str, str]]:
-    """Start, end, text and context of the name-shaped words in the given contexts."""
-    if contexts:
-        sides = contexts.sides
+def in_contexts(text: str, contexts: Contexts | None) -> Iterator[tuple[int, int, str, str]]:
+    """Start, end, text and context of the name-shaped words in the given contexts, or in any if these are null."""
+    if contexts is None or contexts:
+        sides = contexts.sides if contexts is not None else None
         for m in FULL.finditer(text):
             start, end = m.span()
             before = start - 1 - (text[start - 1 : start] in BLANK)
-            if before >= 0 and _side(text, before) + _side(text, end + (text[end : end + 1] in BLANK)) in sides and not m[1].isupper():
+            if before >= 0 and (sides is None or _side(text, before) + _side(text, end + (text[end : end + 1] in BLANK)) in sides) and not m[1].isupper():
                 context = around(text, start, end)
-                if context in contexts:
+                if context if contexts is None else context in contexts:
                     yield start, end, m[1], context
 
 
@@ -364,8 +365,8 @@ GIVEN_BEFORE = re.compile(r"(?<![^\W_])((?:(?:[A-ZÀ-ÖØ-Þ][\w’']*(?:-[A-ZÀ
 GIVEN_AFTER = re.compile(r",[  ]([A-ZÀ-ÖØ-Þ][\w’']*(?:-[A-ZÀ-ÖØ-Þ][\w’']*)*(?:[  ][A-ZÀ-ÖØ-Þ]\.)*)(?![\w@])")
 
 
-def names(text: str, lower: str, lexicon: Lexicon) -> Iterator[tuple[int, int, float]]:
-    """Family names of the lexicon with given names or initials before or after them, or with a title before them."""
+def names(text: str, lower: str, lexicon: Lexicon, contexts: Contexts | None = None) -> Iterator[tuple[int, int, float]]:
+    """Family names of the lexicon with given names or initials before or after them, or with a title before them; names in seeds and in contexts, those of the lexicon if none are given."""
     for tail in lexicon.tails.keys() & {w.lower() for w in set(CAPITALISED.findall(text))}:
         place = lower.find(tail)
         while place >= 0:
@@ -404,7 +405,7 @@ def names(text: str, lower: str, lexicon: Lexicon) -> Iterator[tuple[int, int, f
                     continue
             if TITLES.search(left):
                 yield start, end, 1.4 - less
-    for start, end, name, *_ in chain(in_seeds(text), in_contexts(text, lexicon.contexts)):
+    for start, end, name, *_ in chain(in_seeds(text), in_contexts(text, lexicon.contexts if contexts is None else contexts)):
         if name.lower() not in lexicon.family_lower and not NOT_PERSON_AFTER.match(text, end) and not NOT_PERSON_IN.search(name):
             yield start, end, 1.05
 
@@ -420,8 +421,8 @@ def _is_given(word: str, lexicon: Lexicon) -> bool:
 KINDS = ("email", "phone", "id_number", "address", "name")
 
 
-def pieces(text: str, lexicon: Lexicon) -> list[tuple[int, int, str]]:
-    """Spans (start, end, kind) of the pieces of one text, not overlapping, in order."""
+def pieces(text: str, lexicon: Lexicon, contexts: Contexts | None = None) -> list[tuple[int, int, str]]:
+    """Spans (start, end, kind) of the pieces of one text, not overlapping, in order; `contexts` are the text's own where the lexicon can't hold all."""
     lower, found = text.lower(), []
     if len(lower) != len(text):  # a letter whose lower case is longer
         lower = "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
@@ -432,7 +433,7 @@ def pieces(text: str, lexicon: Lexicon) -> list[tuple[int, int, str]]:
     found += [(s, -(e - b), b, e, "id_number") for b, e, s in id_numbers(text, lower, stems)]
     found += [(s, -(e - b), b, e, "id_number") for b, e, s in unlabelled_ids(text, lower, stems)]
     found += [(s, -(e - b), b, e, "address") for b, e, s in addresses(text)]
-    found += [(s, -(e - b), b, e, "name") for b, e, s in names(text, lower, lexicon)]
+    found += [(s, -(e - b), b, e, "name") for b, e, s in names(text, lower, lexicon, contexts)]
     taken: list[tuple[int, int, str]] = []
     for score, _, b, e, kind in sorted((f for f in found if f[0] >= THRESHOLD), key=lambda f: (-f[0], f[1], f[2])):
         if not any(b < y and x < e for x, y, _ in taken):
@@ -469,8 +470,14 @@ def _parts_of(names_: DataFrame) -> tuple[dict[str, int], dict[str, int]]:
 _NAMES = "context string, name string, known boolean, n bigint, given string, family string"
 
 
-def fitted_lexicon(df: DataFrame, *, text_col: str = "text") -> Lexicon:
-    """The lexicon of a table: names of bylines and name fields, then the contexts these names stand in, then the names in those contexts; three passes over all documents."""
+def _held(contexts: DataFrame) -> Contexts | None:
+    """The contexts if they were counted to be few enough for a worker to hold, else null."""
+    rows = contexts.limit(HELD_CONTEXTS + 1).collect()
+    return Contexts(r.context for r in rows) if len(rows) <= HELD_CONTEXTS else None
+
+
+def fitted(df: DataFrame, *, text_col: str = "text") -> tuple[Lexicon, DataFrame | None]:
+    """The lexicon of a table, and its contexts apart as (context) where they are more than it can hold: names of bylines and name fields, then the contexts these names stand in, then the names in those contexts; three passes over all documents."""
     spark = df.sparkSession
     texts = df.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
 
@@ -489,7 +496,7 @@ def fitted_lexicon(df: DataFrame, *, text_col: str = "text") -> Lexicon:
     seeds = checkpointed(counted(lambda t: (("", name, True) for _, _, name in in_seeds(t))))
     first = spark.sparkContext.broadcast(fit_lexicon(*_parts_of(seeds)))
     if not first.value.family:
-        return first.value
+        return first.value, None
 
     def of_known(text: str) -> Iterator[tuple[str, str, bool]]:
         given = first.value.given_lower
@@ -499,47 +506,83 @@ def fitted_lexicon(df: DataFrame, *, text_col: str = "text") -> Lexicon:
                 if context:
                     yield context, m[1], True
 
-    each = counted(of_known).groupBy("context", "name").agg(F.sum("n").alias("n"))
-    candidates = each.groupBy("context").agg(F.count("*").alias("names"), F.sum("n").alias("n")).filter(F.col("names") >= MIN_DISTINCT).orderBy(F.desc("names"), F.desc("n"), "context").limit(MAX_CONTEXTS).collect()
-    tried = spark.sparkContext.broadcast(Contexts(r.context for r in candidates))
+    each = counted(of_known).select("context", "name").distinct()
+    candidates = checkpointed(each.groupBy("context").agg(F.count("*").alias("names")).filter(F.col("names") >= MIN_DISTINCT).select("context"))
+    tried = spark.sparkContext.broadcast(_held(candidates))
 
     def in_tried(text: str) -> Iterator[tuple[str, str, bool]]:
         for _, _, name, context in in_contexts(text, tried.value):
             yield context, name, _is_known(name, first.value)
 
-    there = checkpointed(counted(in_tried).groupBy("context", "name", "known", "given", "family").agg(F.sum("n").alias("n")))
+    found = counted(in_tried)
+    if tried.value is None:
+        found = found.join(candidates, "context", "left_semi")
+    there = checkpointed(found.groupBy("context", "name", "known", "given", "family").agg(F.sum("n").alias("n")))
     share = F.sum(F.when(F.col("known"), F.col("n")).otherwise(0)) / F.sum("n")
-    kept = frozenset(r.context for r in there.groupBy("context").agg(share.alias("share")).filter(F.col("share") >= MIN_KNOWN).collect())  # at most MAX_CONTEXTS
-    more = there.filter(F.col("context").isin(*kept)) if kept else there.limit(0)
-    return fit_lexicon(*_parts_of(seeds.unionByName(more)), contexts=kept)
+    kept = checkpointed(there.groupBy("context").agg(share.alias("share")).filter(F.col("share") >= MIN_KNOWN).select("context"))
+    more = there.join(counted_small(kept, HELD_CONTEXTS), "context", "left_semi")
+    held = _held(kept)
+    return fit_lexicon(*_parts_of(seeds.unionByName(more)), contexts=held or ()), kept if held is None else None
+
+
+def fitted_lexicon(df: DataFrame, *, text_col: str = "text") -> Lexicon:
+    """The lexicon of a table with all its contexts, however many."""
+    lexicon, apart = fitted(df, text_col=text_col)
+    if apart is not None:
+        lexicon.contexts = Contexts(r.context for r in apart.collect())
+    return lexicon
+
+
+def _with_contexts(rows: DataFrame, apart: DataFrame | None) -> DataFrame:
+    """(key, text) and, where the contexts are apart from the lexicon, those of them that the text has."""
+    if apart is None:
+        return rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            each = [(d, c) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for c in {x[3] for x in in_contexts(t, None)}]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in each], pa.string()) for k in (0, 1)], names=["digest", "context"])
+
+    keyed = rows.withColumn("digest", F.sha2("text", 256))
+    there = keyed.filter(F.col("text").isNotNull()).select("digest", "text").mapInArrow(run, "digest string, context string").distinct()
+    own = there.join(apart, "context", "left_semi").groupBy("digest").agg(F.collect_list("context").alias("contexts"))
+    return keyed.join(own, "digest", "left").select("key", "text", "contexts")
+
+
+def _read(batch: pa.RecordBatch) -> Iterator[tuple[str | None, Contexts | None]]:
+    """Each text and its own contexts: null where the lexicon holds all."""
+    texts = batch.column(1).to_pylist()
+    return zip(texts, (Contexts(x or ()) for x in batch.column(2).to_pylist()) if batch.num_columns > 2 else [None] * len(texts))
 
 
 def find_pieces(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, kind, value): each distinct piece of each text."""
-    shared = df.sparkSession.sparkContext.broadcast(fitted_lexicon(df, text_col=text_col))
+    lexicon, apart = fitted(df, text_col=text_col)
+    shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, kind, value = [], [], []
-            for i, text in enumerate(batch.column(1).to_pylist()):
+            for i, (text, own) in enumerate(_read(batch)):
                 if text:
-                    for k, v in sorted({(k, text[b:e]) for b, e, k in pieces(text, shared.value)}):
+                    for k, v in sorted({(k, text[b:e]) for b, e, k in pieces(text, shared.value, own)}):
                         row.append(i), kind.append(k), value.append(v)
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(kind, pa.string()), pa.array(value, pa.string())], names=["key", "kind", "value"])
 
     name = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, f"key {name}, kind string, value string").withColumnRenamed("key", id_col)
+    return _with_contexts(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")), apart).mapInArrow(run, f"key {name}, kind string, value string").withColumnRenamed("key", id_col)
 
 
 def redact(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id_col, text, pieces): the text with typed placeholders, and its number of pieces; null stays null."""
-    shared = df.sparkSession.sparkContext.broadcast(fitted_lexicon(df, text_col=text_col))
+    lexicon, apart = fitted(df, text_col=text_col)
+    shared = df.sparkSession.sparkContext.broadcast(lexicon)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            spans = [pieces(t, shared.value) if t else [] for t in texts]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([redacted(t, s) if t else t for t, s in zip(texts, spans)], pa.string()), pa.array([len(s) for s in spans], pa.int32())], names=["key", "text", "pieces"])
+            each = [(t, pieces(t, shared.value, own) if t else []) for t, own in _read(batch)]
+            spans = [s for _, s in each]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([redacted(t, s) if t else t for t, s in each], pa.string()), pa.array([len(s) for s in spans], pa.int32())], names=["key", "text", "pieces"])
 
     name = df.schema[id_col].dataType.simpleString()
-    return df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")).mapInArrow(run, f"key {name}, text string, pieces int").withColumnRenamed("key", id_col)
+    return _with_contexts(df.select(F.col(id_col).alias("key"), F.col(text_col).alias("text")), apart).mapInArrow(run, f"key {name}, text string, pieces int").withColumnRenamed("key", id_col)

@@ -389,6 +389,30 @@ def test_contexts_are_learnt_from_the_names_of_bylines(spark):
     assert personal.fitted_lexicon(df.filter("text NOT LIKE 'By %'")).family == frozenset()
 
 
+def test_contexts_beyond_any_count_are_used(spark, monkeypatch):
+    """2300 contexts, the last of them with fewest names: all are learnt, and with contexts too many to hold the result is the same."""
+    people = [f"{a} {b}" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "Marn", "Dorr")]
+    word = lambda i: "q" + "".join(chr(97 + i // 20**k % 20) for k in range(3))
+    texts = [f"By {x}\nbody" for x in people] + ["\n".join(f"as {word(i)} {x} {chr(118 + i % 3)} ok" for x in people[: 6 if i < 2299 else 5]) for i in range(2300)]
+    texts += [f"as {word(2299)} Zelda Quillon {chr(118 + 2299 % 3)} ok", "then Zelda Quillon left", "then Ann Corvell left", "then Ann Corvell left", "", None]
+    texts[-7] += "\n" + texts[-7]  # as the name is one in eleven there
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    lexicon = personal.fitted_lexicon(df)
+    assert len(lexicon.contexts) == 2300 and "Quillon" in lexicon.family
+    found, clean = ({tuple(r) for r in f(df).collect()} for f in (personal.find_pieces, personal.redact))
+    assert {(n, "name", "Zelda Quillon") for n in (len(texts) - 6, len(texts) - 5)} <= found and len(clean) == len(texts)
+    monkeypatch.setattr(personal, "HELD_CONTEXTS", 100)
+    assert personal.fitted(df)[1].count() == 2300 and personal.fitted_lexicon(df) == lexicon
+    assert {tuple(r) for r in personal.find_pieces(df).collect()} == found and {tuple(r) for r in personal.redact(df).collect()} == clean
+
+
+def test_contexts_with_a_blank_line_word_or_white_space_after(spark):
+    contexts = personal.Contexts((" _ _ ,", "a _ _ said", "he told _ "))
+    assert contexts.sides == {"_,", "_s", "d"}
+    got = [x[2:] for x in personal.in_contexts("_ Ann Marn, he told Eve Dorr  then he told Tom Dorr\tleft", contexts)]
+    assert got == [("Ann Marn", " _ _ ,"), ("Eve Dorr", "he told _ "), ("Tom Dorr", "he told _ ")]
+
+
 def test_names_seen_once_in_a_large_table(spark):
     texts = [f"By {a} {b}\nbody" for a in ("Ann", "Eve", "Tom") for b in ("Corvell", "De Marn", "O'Dorr")] * 9
     rare = [(100_000, "By Zelda Quillon\nbody"), (100_001, "then Zelda Quillon left"), (100_002, "By Jo Wu\nbody"), (100_003, "By Acme Research Group\nbody")]
